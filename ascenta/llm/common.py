@@ -79,3 +79,57 @@ def per_process(key: tuple, make: Callable):
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+class WordTable(dict):
+    """Numbers words as they are met; *describe* gives the values kept for each new word.
+
+    ``numbers(words)`` is then a dictionary lookup a word, and the values are
+    numpy columns to index. ``trim`` empties the table once it holds *most* words, so
+    its memory is bounded; call it between batches only, as numbers change.
+    """
+
+    def __init__(self, describe: Callable[[bytes], tuple[int, ...]], width: int, most: int = 200_000):
+        import numpy as np
+
+        self.describe, self.most = describe, most
+        self.held = np.zeros((width, 1024), dtype=np.uint64)
+
+    def __missing__(self, word):
+        import numpy as np
+
+        self[word] = n = len(self)
+        if n == self.held.shape[1]:
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)], axis=1)
+        self.held[:, n] = self.describe(word)
+        return n
+
+    def numbers(self, words: list):
+        import numpy as np
+
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def columns(self):
+        """One unsigned 64-bit column for each value of the words so far."""
+        return self.held
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.clear()
+
+
+def mixed(x):
+    """A bijective mix of unsigned 64-bit numbers (the finalizer of splitmix64), elementwise."""
+    import numpy as np
+
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def texts_of(column) -> list[bytes]:
+    """The UTF-8 bytes of an Arrow string column, null as empty."""
+    import pyarrow as pa
+
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return [t or b"" for t in column.cast(kind).to_pylist()]

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, rules
+from . import bpe, exact, html, quality, rules, urls
 
+#: The rules of the url contract: host, then path.
+URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -17,10 +19,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.score_quality(docs, quality.train_quality(docs, labels))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode_bpe(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     back = bpe.decode_bpe(ids, RANKS, public_tokenizers.PATTERN)
@@ -33,7 +48,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_url_filter": op7_url_filter,
+    "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
