@@ -74,24 +74,38 @@ def encode_text(text: str, ranks_path: str, pattern: str) -> list[int]:
     return ids
 
 
-def encode_bpe(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _unpacked(own, packed: bytes | None) -> bytes:
+    import numpy as np
+
+    return own.decode_bytes(np.frombuffer(packed or b"", dtype="<u4").tolist())
+
+
+def encode_bpe(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
     """One row per input row: *id_col*, n_tokens and token_ids (little-endian unsigned 32-bit, packed).
 
+    With *decode*, also ``decoded``, the raw bytes of those packed ids, made in the
+    same pass: one Python worker a task holds one copy of the ranks.
+
     Null text counts as empty and gives no ids; no special token is made, so
     their strings are ordinary text. Other columns are not read. Each text is encoded
     alone and whole; long ones in pieces cut at safe boundaries.
     """
     kind = df.schema[id_col].dataType.simpleString()
+    names = ["id", "n_tokens", "token_ids", *["decoded"] * decode]
 
     def kernel(batches):
         import numpy as np
         import pyarrow as pa
 
+        own = encoder(ranks_path, pattern)
         for batch in batches:
             packed = [np.asarray(encode_text(t or "", ranks_path, pattern), dtype="<u4").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())], ["id", "n_tokens", "token_ids"])
+            out = [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())]
+            if decode:
+                out.append(pa.array([_unpacked(own, p) for p in packed], pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, names)
 
-    out = map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, n_tokens long, token_ids binary")
+    out = map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, n_tokens long, token_ids binary" + ", decoded binary" * decode)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -106,12 +120,11 @@ def decode_bpe(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "tok
     at = df.columns.index(ids_col)
 
     def kernel(batches):
-        import numpy as np
         import pyarrow as pa
 
         own = encoder(ranks_path, pattern)
         for batch in batches:
-            raw = [own.decode_bytes(np.frombuffer(p or b"", dtype="<u4").tolist()) for p in batch.column(at).to_pylist()]
+            raw = [_unpacked(own, p) for p in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, "decoded"])
 
     return map_arrow(df, kernel, f"{schema}, decoded binary")

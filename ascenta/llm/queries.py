@@ -37,8 +37,7 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode_bpe(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    back = bpe.decode_bpe(ids, RANKS, public_tokenizers.PATTERN)
+    back = bpe.encode_bpe(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decode=True)
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
