@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, quality, rules, urls
+from . import bpe, exact, html, quality, rules, tokenbin, urls
 
 #: The rules of the url contract: host, then path.
 URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
@@ -28,6 +28,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = tokenbin.encode_corpus(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -49,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_token_files": op5_token_files,
     "op7_url_filter": op7_url_filter,
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
