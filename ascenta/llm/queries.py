@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, quality, rules, tokenbin, urls
+from . import bpe, exact, html, mixing, quality, rules, tokenbin, urls
 
+#: The tree of the mix, root first, and the integer weights of its named nodes; others weigh 1.
+MIX_LEVELS = {"domain": F.concat(F.lit("domain"), F.pmod(F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"), F.lit(0)), F.lit(3))), "lang": F.col("lang"), "source": F.col("source")}
+MIX_WEIGHTS = {"domain": {"domain0": 5, "domain1": 3, "domain2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (2, 3), 2, 42
 #: The rules of the url contract: host, then path.
 URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,6 +37,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    drawn = mixing.mix_sources(docs, MIX_LEVELS, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
+    return drawn.select("doc_id", MIX_LEVELS["domain"].alias("domain"), "lang", "source", "mix_tokens", "mix_copies")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -55,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_token_files": op5_token_files,
+    "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
@@ -118,4 +129,57 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM c
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2_SQL, "op10_quality_rules": _OP10_SQL}
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in MIX_WEIGHTS.get(level, {}).items())
+    return f"CASE {cases} ELSE 1 END" if cases else "1"
+
+
+def _share_sql(path: list[str], above: str) -> str:
+    """One level of the tree: the budgets of the nodes at *path* from those of the level above."""
+    keys, parent = ", ".join(path), ", ".join(path[:-1]) or "1"
+    names = "_".join(p[0] for p in path)
+    join = f"JOIN {above} USING ({', '.join(path[:-1])})" if path[:-1] else f"CROSS JOIN {above}"
+    prefix = f"(PARTITION BY {parent} ORDER BY capacity::DOUBLE / weight, {path[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+n_{names} AS (
+  SELECT {keys}, capacity, {_weight_sql(path[-1])}::BIGINT AS weight, budget
+  FROM (SELECT {keys}, sum(supply)::BIGINT * {MIX_EPOCHS} AS capacity FROM leaves GROUP BY ALL) {join}
+), h_{names} AS (
+  SELECT *, coalesce(sum(capacity) OVER {prefix}, 0) AS held,
+         sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER {prefix}, 0) AS weighed
+  FROM n_{names}
+), f_{names} AS (
+  SELECT *, capacity * weighed <= weight * (budget - held) AS filled FROM h_{names}
+), b_{names} AS (
+  SELECT {keys}, (CASE WHEN filled THEN capacity ELSE greatest(0,
+    (max(budget - held) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent})) * weight
+    // (sum(weight) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent}))) END)::BIGINT AS budget
+  FROM f_{names}
+)"""
+
+
+_OP6_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, lang, source, 'domain' || coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0) % 3 AS domain,
+         greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS mix_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(mix_tokens)::BIGINT AS supply FROM d GROUP BY ALL
+), root AS (
+  SELECT (sum(supply)::BIGINT * {MIX_SHARE[0]}) // {MIX_SHARE[1]} AS budget FROM leaves
+), {_share_sql(["domain"], "root")}, {_share_sql(["domain", "lang"], "b_d")}, {_share_sql(["domain", "lang", "source"], "b_d_l")},
+e AS (
+  SELECT d.*, budget // supply AS whole, budget % supply AS rest
+  FROM d JOIN leaves USING (domain, lang, source) JOIN b_d_l_s USING (domain, lang, source)
+), o AS (
+  SELECT *, sum(mix_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || whole || ':' || doc_id), doc_id, mix_tokens
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ends
+  FROM e
+)
+SELECT doc_id, domain, lang, source, mix_tokens, (whole + (ends <= rest)::INT)::BIGINT AS mix_copies
+FROM o WHERE whole + (ends <= rest)::INT > 0
+"""
+
+ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2_SQL, "op6_mixing": _OP6_SQL, "op10_quality_rules": _OP10_SQL}
