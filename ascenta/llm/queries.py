@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, mixing, quality, rules, tokenbin, urls
+from . import bpe, exact, html, mixing, near, quality, rules, tokenbin, urls
 
 #: The tree of the mix, root first, and the integer weights of its named nodes; others weigh 1.
 MIX_LEVELS = {"domain": F.concat(F.lit("domain"), F.pmod(F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"), F.lit(0)), F.lit(3))), "lang": F.col("lang"), "source": F.col("source")}
@@ -32,6 +32,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_duplicates(_table(spark, sf_dir, "documents"), near.Similarity(words=3, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = tokenbin.encode_corpus(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return back.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
@@ -64,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
