@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import os
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordTable, map_arrow, new_path, per_process, texts_of
+from .common import map_arrow, new_path, per_process, texts_of
 
 #: Token ids of documents in one block of a file, about.
 BLOCK_TOKENS = 1 << 18
@@ -76,48 +78,104 @@ def _tokenizer(path: str):
     return per_process(("tokenizer", path), make)
 
 
-class _TokenTable:
+#: Marks that end a chunk without touching the letters before them; the apostrophe is not among them.
+_ENDS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _ends_as_letter(char: str) -> bool:
+    """Whether a character is a letter still, and ends in one, once normalised and lower-cased."""
+    return "a" <= char <= "z" or unicodedata.normalize("NFC", char).lower()[-1].isalpha()
+
+
+class _TokenTable(dict):
     """Ids of whole texts, by the ids of their white-space-separated chunks.
 
     The tokenizer's normaliser and splitter drop white space and look at nothing
     across it, so a text's ids are those of its chunks in order. Each new chunk
-    goes through the library once; texts are then gathered with numpy.
+    goes through the library once, without the marks at its end if it has letters
+    before them, since the splitter parts these too. Texts are then gathered with
+    numpy. Beyond *most* chunks those met once since the last time are dropped.
     """
 
-    def __init__(self, path: str, most: int = 100_000):
-        self.own, self.words, self.pending = _tokenizer(path), WordTable(self._note, 1, most), []
-        self._reset()
+    def __init__(self, path: str, most: int = 500_000):
+        import numpy as np
 
-    def _reset(self):
+        self.own, self.most = _tokenizer(path), most
+        self.plain: list[tuple[int, str]] = []
+        self.joined: list[tuple[int, int, int]] = []
+        self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.own.get_vocab_size() <= 1 << 16 else np.uint32), 0
+        self.place = np.zeros((3, 1 << 14), np.int64)  # start, length and uses of each chunk
+
+    def __missing__(self, chunk: bytes) -> int:
+        self[chunk] = n = len(self)
+        text = chunk.decode()
+        core = text.rstrip(_ENDS)
+        if len(core) < len(text) and core and _ends_as_letter(core[-1]):
+            self.joined.append((n, self[core.encode()], self[text[len(core) :].encode()]))
+        else:
+            self.plain.append((n, text))
+        return n
+
+    def _add(self, numbers, lengths, ids) -> None:
         import numpy as np
 
-        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        while self.place.shape[1] < len(self):
+            self.place = np.concatenate([self.place, np.zeros_like(self.place)], axis=1)
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.place[0, numbers] = self.used + np.cumsum(lengths) - lengths
+        self.place[1, numbers] = lengths
+        self.place[2, numbers] = 0
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _ids(self, numbers):
+        """The ids of chunks in a row, and where each chunk's end."""
+        import numpy as np
 
-    def _note(self, word: bytes) -> tuple[int]:
-        self.pending.append(word)
-        return (0,)
+        starts, lengths = self.place[0, numbers], self.place[1, numbers]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], ends
+
+    def _learn(self) -> None:
+        import numpy as np
+
+        if self.plain:
+            numbers, texts = zip(*self.plain, strict=True)
+            got = self.own.encode(list(texts), is_pretokenized=True, add_special_tokens=False)
+            self._add(np.array(numbers), np.bincount(np.array(got.word_ids, np.int64), minlength=len(texts)), np.array(got.ids))
+        if self.joined:
+            numbers, cores, ends = np.array(self.joined).T
+            ids, stops = self._ids(np.stack([cores, ends], axis=1).reshape(-1))
+            self._add(numbers, np.diff(stops[1::2], prepend=0), ids)
+        self.plain, self.joined = [], []
+
+    def _trim(self) -> None:
+        import numpy as np
+
+        if len(self) <= self.most:
+            return
+        words = np.array(list(self), dtype=object)
+        keep = np.flatnonzero(self.place[2, : len(words)] > 1)[: self.most // 2]
+        ids, ends = self._ids(keep)
+        self.clear()
+        self.update(zip(words[keep], range(len(keep)), strict=True))
+        self.used = 0
+        self._add(np.arange(len(keep)), np.diff(ends, prepend=0), ids)
 
     def encode(self, texts: list[bytes]):
         """All ids of the texts, and how many each has."""
         import numpy as np
 
-        if len(self.words) > self.words.most:
-            self.words.clear()
-            self._reset()
-        numbers = [self.words.numbers(t.split()) for t in texts]
-        if self.pending:
-            got = [e.ids for e in self.own.encode_batch([w.decode() for w in self.pending], add_special_tokens=False)]
-            lengths = np.array([len(g) for g in got], np.int64)
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, np.array([i for g in got for i in g], np.uint32)])
-            self.pending = []
-        n = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        lengths, ends = self.lengths[n], np.cumsum(self.lengths[n])
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(self.starts[n] - (ends - lengths), lengths)]
-        words = np.cumsum([0, *map(len, numbers)])
-        marks = np.concatenate([[0], ends])[words]
+        self._trim()
+        chunks = [t.lower().split() for t in texts]  # the normaliser lower-cases; ASCII alone needs no context
+        n = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(chunks)), np.int64, sum(map(len, chunks)))
+        self._learn()
+        if len(n):
+            self.place[2, : len(self)] += np.bincount(n, minlength=len(self))
+        ids, ends = self._ids(n)
+        marks = np.concatenate([[0], ends])[np.cumsum([0, *map(len, chunks)])]
         return ids, np.diff(marks)
 
 
@@ -134,7 +192,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
         import pyarrow as pa
 
         wide = np.dtype("<u2" if narrow else "<u4")
-        table = _TokenTable(tokenizer_path)
+        table = per_process(("tokens", tokenizer_path), lambda: _TokenTable(tokenizer_path))
         for batch in batches:
             ids, counts = table.encode(texts_of(batch.column(1)))
             ends = np.cumsum(counts)
