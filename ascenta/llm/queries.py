@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, mixing, near, quality, rules, tokenbin, urls
+import corpus_pipeline
+
+from . import bpe, exact, html, mixing, near, quality, rules, suffix, tokenbin, urls
 
 #: The tree of the mix, root first, and the integer weights of its named nodes; others weigh 1.
 MIX_LEVELS = {"domain": F.concat(F.lit("domain"), F.pmod(F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"), F.lit(0)), F.lit(3))), "lang": F.col("lang"), "source": F.col("source")}
@@ -37,6 +39,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.suffix_dedup(_table(spark, sf_dir, "documents"), length=100)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = tokenbin.encode_corpus(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return back.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
@@ -67,9 +75,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
@@ -189,3 +199,5 @@ FROM o WHERE whole + (ends <= rest)::INT > 0
 """
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2_SQL, "op6_mixing": _OP6_SQL, "op10_quality_rules": _OP10_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
