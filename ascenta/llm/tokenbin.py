@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
 import os
-import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, new_path, per_process, texts_of
+from .common import map_arrow, mixed, new_path, per_process, texts_of
 
 #: Token ids of documents in one block of a file, about.
 BLOCK_TOKENS = 1 << 18
@@ -79,55 +77,85 @@ def _tokenizer(path: str):
 
 
 #: Marks that end a chunk without touching the letters before them; the apostrophe is not among them.
-_ENDS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BLANKS = b" \t\n\x0b\x0c\r"
 
 
-def _ends_as_letter(char: str) -> bool:
-    """Whether a character is a letter still, and ends in one, once normalised and lower-cased."""
-    return "a" <= char <= "z" or unicodedata.normalize("NFC", char).lower()[-1].isalpha()
+def _powers(n: int):
+    """The first *n* powers of an odd base and their inverses, modulo 2**64; kept and grown."""
+    import numpy as np
+
+    def make(size: int):
+        ones = np.ones(size, np.uint64)
+        up, down = ones.copy(), ones
+        up[1:], down[1:] = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+        return np.cumprod(up), np.cumprod(down)
+
+    size = 1 << max(20, (n - 1).bit_length())
+    return per_process(("powers", size), lambda: make(size))
 
 
-class _TokenTable(dict):
+class _TokenTable:
     """Ids of whole texts, by the ids of their white-space-separated chunks.
 
     The tokenizer's normaliser and splitter drop white space and look at nothing
-    across it, so a text's ids are those of its chunks in order. Each new chunk
-    goes through the library once, without the marks at its end if it has letters
-    before them, since the splitter parts these too. Texts are then gathered with
-    numpy. Beyond *most* chunks those met once since the last time are dropped.
+    across it, so a text's ids are those of its chunks in order. A chunk's end
+    marks are cut off where it has an ASCII letter before them, since the splitter
+    parts these too. Chunks are told apart by 64-bit hashes of their bytes, all made
+    at once by prefix sums; each new one goes through the library once. Beyond
+    *most* chunks, those met once since the last time are dropped.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 600_000):
         import numpy as np
+        import xxhash
 
         self.own, self.most = _tokenizer(path), most
-        self.plain: list[tuple[int, str]] = []
-        self.joined: list[tuple[int, int, int]] = []
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and their chunks' numbers
         self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.own.get_vocab_size() <= 1 << 16 else np.uint32), 0
-        self.place = np.zeros((3, 1 << 14), np.int64)  # start, length and uses of each chunk
-
-    def __missing__(self, chunk: bytes) -> int:
-        self[chunk] = n = len(self)
-        text = chunk.decode()
-        core = text.rstrip(_ENDS)
-        if len(core) < len(text) and core and _ends_as_letter(core[-1]):
-            self.joined.append((n, self[core.encode()], self[text[len(core) :].encode()]))
-        else:
-            self.plain.append((n, text))
-        return n
-
-    def _add(self, numbers, lengths, ids) -> None:
+        self.place = np.zeros((3, 0), np.int64)  # start, length and uses of each chunk
+        self.value = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 7) | 1 for b in range(256)], np.uint64)
+        self.kind = np.zeros(256, np.uint8)  # 1: white space, 2: end mark, 3: letter that ends a word
+        for chars, kind in ((_BLANKS, 1), (_ENDS, 2), (bytes(range(97, 123)), 3)):
+            self.kind[list(chars)] = kind
+
+    def _chunks(self, data):
+        """Starts and ends of chunks, end marks being chunks of their own after a letter."""
+        import numpy as np
+
+        kind = self.kind[data]
+        text = kind != 1
+        edge = np.flatnonzero(np.diff(text, prepend=False, append=False))
+        starts, ends = edge[0::2], edge[1::2]
+        # The last byte that is no end mark, if it lies in the chunk before its end and is a letter, parts it.
+        solid = np.maximum.accumulate(np.where(kind == 2, -1, np.arange(len(data))))
+        last = solid[ends - 1]
+        parted = (last >= starts) & (last < ends - 1) & (kind[np.maximum(last, 0)] == 3)
+        cut = last[parted] + 1
+        return np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+
+    def _hashes(self, data, starts, ends):
+        import numpy as np
+
+        up, down = _powers(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.value[data] * up[: len(data)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def _add(self, keys, lengths, ids) -> None:
+        """New chunks by their sorted hashes."""
         import numpy as np
 
-        while self.place.shape[1] < len(self):
-            self.place = np.concatenate([self.place, np.zeros_like(self.place)], axis=1)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.place[0, numbers] = self.used + np.cumsum(lengths) - lengths
-        self.place[1, numbers] = lengths
-        self.place[2, numbers] = 0
+        n = self.place.shape[1]
+        new = np.stack([self.used + np.cumsum(lengths) - lengths, lengths, np.zeros_like(lengths)])
+        self.place = np.concatenate([self.place, new], axis=1)
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.numbers = np.insert(self.numbers, at, np.arange(n, n + len(keys)))
 
     def _ids(self, numbers):
         """The ids of chunks in a row, and where each chunk's end."""
@@ -138,44 +166,37 @@ class _TokenTable(dict):
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], ends
 
-    def _learn(self) -> None:
-        import numpy as np
-
-        if self.plain:
-            numbers, texts = zip(*self.plain, strict=True)
-            got = self.own.encode(list(texts), is_pretokenized=True, add_special_tokens=False)
-            self._add(np.array(numbers), np.bincount(np.array(got.word_ids, np.int64), minlength=len(texts)), np.array(got.ids))
-        if self.joined:
-            numbers, cores, ends = np.array(self.joined).T
-            ids, stops = self._ids(np.stack([cores, ends], axis=1).reshape(-1))
-            self._add(numbers, np.diff(stops[1::2], prepend=0), ids)
-        self.plain, self.joined = [], []
-
     def _trim(self) -> None:
         import numpy as np
 
-        if len(self) <= self.most:
+        if len(self.keys) <= self.most:
             return
-        words = np.array(list(self), dtype=object)
-        keep = np.flatnonzero(self.place[2, : len(words)] > 1)[: self.most // 2]
-        ids, ends = self._ids(keep)
-        self.clear()
-        self.update(zip(words[keep], range(len(keep)), strict=True))
-        self.used = 0
-        self._add(np.arange(len(keep)), np.diff(ends, prepend=0), ids)
+        kept = np.flatnonzero(self.place[2, self.numbers] > 1)[: self.most // 2]
+        keys, numbers = self.keys[kept], self.numbers[kept]
+        ids, ends = self._ids(numbers)
+        self.keys, self.numbers, self.place, self.used = self.keys[:0], self.numbers[:0], self.place[:, :0], 0
+        self._add(keys, np.diff(ends, prepend=0), ids)
 
     def encode(self, texts: list[bytes]):
         """All ids of the texts, and how many each has."""
         import numpy as np
 
         self._trim()
-        chunks = [t.lower().split() for t in texts]  # the normaliser lower-cases; ASCII alone needs no context
-        n = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(chunks)), np.int64, sum(map(len, chunks)))
-        self._learn()
-        if len(n):
-            self.place[2, : len(self)] += np.bincount(n, minlength=len(self))
-        ids, ends = self._ids(n)
-        marks = np.concatenate([[0], ends])[np.cumsum([0, *map(len, chunks)])]
+        raw = b" ".join(t.lower() for t in texts)  # the normaliser lower-cases; ASCII alone needs no context
+        data = np.frombuffer(raw, np.uint8)
+        starts, ends = self._chunks(data) if len(data) else (np.zeros(0, np.int64),) * 2
+        keys, first, where = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(new):
+            chunks = b"\n".join([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]).decode().split("\n")
+            got = self.own.encode(chunks, is_pretokenized=True, add_special_tokens=False)
+            self._add(keys[new], np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunks)), np.array(got.ids, np.int64))
+        numbers = self.numbers[np.searchsorted(self.keys, keys)]
+        self.place[2, numbers] += np.bincount(where, minlength=len(keys))
+        ids, stops = self._ids(numbers[where])
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        marks = np.concatenate([[0], stops])[np.searchsorted(starts, bounds)]
         return ids, np.diff(marks)
 
 
