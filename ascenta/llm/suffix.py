@@ -10,7 +10,7 @@ merged by loser trees.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialize, mixed, texts_of, whole_text
@@ -157,11 +157,25 @@ def _unpacked(blob: bytes, kind):
     return out
 
 
-def _place(docs, parts: int):
-    """The partition of each document."""
+def _labels(spark: SparkSession, parts: int) -> list[int]:
+    """A label for each partition that Spark's hash partitioning sends there, so that every one gets its share."""
+    sent = spark.range(64 * parts + 64).select(F.col("id").cast("int").alias("label")).withColumn("part", F.pmod(F.hash("label"), F.lit(parts)))
+    found = {r.part: r.label for r in sent.groupBy("part").agg(F.min("label").alias("label")).collect()}  # one row a partition
+    return [found.get(p, -1 - p) for p in range(parts)]
+
+
+def _place(docs, labels):
+    """The label of each document's partition."""
+    import numpy as np
+
+    return np.array(labels)[(mixed(docs.astype(np.int64).view(np.uint64) + np.uint64(_M)) % np.uint64(len(labels))).astype(np.int64)]
+
+
+def _gram_place(grams, labels):
+    """The label of each anchor's partition."""
     import numpy as np
 
-    return (mixed(docs.astype(np.int64).view(np.uint64) + np.uint64(_M)) % np.uint64(parts)).astype(np.int64)
+    return np.array(labels)[(grams % np.uint64(len(labels))).astype(np.int64)]
 
 
 def _dealt(array, place):
@@ -347,7 +361,7 @@ def _repeated_windows(items, length: int):
     return out
 
 
-def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
+def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
     """Repeated spans of *df* (doc: unique long, text), dealt by document: rows of kind 0."""
     spark = df.sparkSession
 
@@ -384,7 +398,7 @@ def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, entries["gram"]), len(known) - 1)
                 sure = known[at] == entries["gram"]
             for kind, some in ((0, entries[sure]), (1, entries[~sure])):
-                place = _place(some["doc"], parts) if kind == 0 else (some["gram"] % np.uint64(parts)).astype(np.int64)
+                place = _place(some["doc"], labels) if kind == 0 else _gram_place(some["gram"], labels)
                 for part, those in _dealt(some, place):
                     yield part, kind, None, _packed(those)
 
@@ -408,7 +422,7 @@ def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
             for kind, _, blob in rows:
                 if kind == 0:
                     sure = _unpacked(blob, _ENTRY)
-                    yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(sure, _place(sure["doc"], parts)))
+                    yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(sure, _place(sure["doc"], labels)))
                 else:
                     singles.append(_unpacked(blob, _ENTRY))
             if singles:
@@ -416,7 +430,7 @@ def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
                 entries = entries[np.argsort(entries["gram"], kind="stable")]
                 same = np.concatenate([[False], entries["gram"][1:] == entries["gram"][:-1]])
                 entries = entries[same | np.concatenate([same[1:], [False]])]
-                yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(entries, _place(entries["doc"], parts)))
+                yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(entries, _place(entries["doc"], labels)))
 
     def cut(batches):
         """Suffixes at anchors that occur again, in sorted front-coded runs dealt by hash; equal ones become spans here."""
@@ -445,10 +459,10 @@ def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
             again = np.concatenate([[False], (keys[1:] == keys[:-1]).all(axis=1)])
             gone = np.empty(int(again.sum()), _SPAN)
             gone["doc"], gone["start"], gone["end"] = spans["doc"][again], spans["start"][again], spans["start"][again] + spans["size"][again]
-            for part, those in _dealt(gone, _place(gone["doc"], parts)):
+            for part, those in _dealt(gone, _place(gone["doc"], labels)):
                 yield part, 0, None, _packed(those)
             keys, spans, lengths = keys[~again], spans[~again], lengths[~again]
-            place = (spans["gram"] % np.uint64(parts)).astype(np.int64)
+            place = _gram_place(spans["gram"], labels)
             for part, those in _dealt(np.arange(len(keys)), place):
                 yield part, 1, None, SuffixRun.encode(keys[those], lengths[those], spans[those])
 
@@ -519,18 +533,18 @@ def _mark(df: DataFrame, length: int, parts: int) -> DataFrame:
 
         for _, rows in _grouped(batches):
             for found in spans(rows):
-                yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(found, _place(found["doc"], parts)))
+                yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(found, _place(found["doc"], labels)))
 
     def exchange(rows: DataFrame) -> DataFrame:
-        return rows.repartition(parts, "part").sortWithinPartitions("part", "kind", "doc")
+        return rows.repartition(len(labels), "part").sortWithinPartitions("part", "kind", "doc")
 
     runs = map_arrow(df, seek, _ROW)
     hits = map_arrow(exchange(runs), pair, _ROW)
-    suffixes = map_arrow(exchange(hits.unionByName(_texts(df, parts))), cut, _ROW)
+    suffixes = map_arrow(exchange(hits.unionByName(_texts(df, labels))), cut, _ROW)
     return map_arrow(exchange(suffixes), merge, _ROW)
 
 
-def _texts(df: DataFrame, parts: int) -> DataFrame:
+def _texts(df: DataFrame, labels: list[int]) -> DataFrame:
     """Compressed texts dealt by document: rows of kind 1."""
 
     def kernel(batches):
@@ -540,7 +554,7 @@ def _texts(df: DataFrame, parts: int) -> DataFrame:
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            place = _place(np.array(docs, np.int64), parts).tolist()
+            place = _place(np.array(docs, np.int64), labels).tolist()
             yield _batch([(p, 1, d, zip_.compress(t)) for p, d, t in zip(place, docs, texts_of(batch.column(1)), strict=True)])
 
     return map_arrow(df, kernel, _ROW)
@@ -619,6 +633,7 @@ def _apply(docs: DataFrame, length: int, parts: int) -> DataFrame:
             if out:
                 yield batch(out)
 
-    marked = _mark(docs, length, parts).unionByName(_texts(docs, parts))
+    labels = _labels(docs.sparkSession, parts)
+    marked = _mark(docs, length, labels).unionByName(_texts(docs, labels))
     dealt = marked.repartition(parts, "part").sortWithinPartitions("part", "kind", "doc")
     return map_arrow(dealt, kernel, "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
