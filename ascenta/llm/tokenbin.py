@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -78,6 +80,8 @@ def _tokenizer(path: str):
 
 #: Marks that end a chunk without touching the letters before them; the apostrophe is not among them.
 _ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Chunks of letters alone that no normalisation joins, parts or turns into marks.
+_WORD = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _BLANKS = b" \t\n\x0b\x0c\r"
 
 
@@ -106,7 +110,7 @@ class _TokenTable:
     *most* chunks, those met once since the last time are dropped.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import numpy as np
         import xxhash
 
@@ -115,6 +119,8 @@ class _TokenTable:
         self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.own.get_vocab_size() <= 1 << 16 else np.uint32), 0
         self.place = np.zeros((3, 0), np.int64)  # start, length and uses of each chunk
         self.value = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 7) | 1 for b in range(256)], np.uint64)
+        self.last = np.zeros(self.own.get_vocab_size(), bool)  # ids that end a word
+        self.last[[i for token, i in self.own.get_vocab().items() if token.endswith("</w>")]] = True
         self.kind = np.zeros(256, np.uint8)  # 1: white space, 2: end mark, 3: letter that ends a word
         for chars, kind in ((_BLANKS, 1), (_ENDS, 2), (bytes(range(97, 123)), 3)):
             self.kind[list(chars)] = kind
@@ -190,8 +196,15 @@ class _TokenTable:
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
         if len(new):
             chunks = b"\n".join([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]).decode().split("\n")
-            got = self.own.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-            self._add(keys[new], np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunks)), np.array(got.ids, np.int64))
+            word = np.array([_WORD(c) is not None for c in chunks], bool)
+            if word.any():  # in one text: each is one word to the splitter, and its last id says so
+                got = self.own.encode_batch_fast([" ".join(itertools.compress(chunks, word))], add_special_tokens=False)[0]
+                ids = np.array(got.ids, np.int64)
+                self._add(keys[new[word]], np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0), ids)
+            if not word.all():
+                rest = list(itertools.compress(chunks, ~word))
+                got = self.own.encode_batch_fast([rest], is_pretokenized=True, add_special_tokens=False)[0]
+                self._add(keys[new[~word]], np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
         numbers = self.numbers[np.searchsorted(self.keys, keys)]
         self.place[2, numbers] += np.bincount(where, minlength=len(keys))
         ids, stops = self._ids(numbers[where])
