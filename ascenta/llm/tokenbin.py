@@ -203,7 +203,7 @@ class _TokenTable:
                 self._add(keys[new[word]], np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0), ids)
             if not word.all():
                 rest = list(itertools.compress(chunks, ~word))
-                got = self.own.encode_batch_fast([rest], is_pretokenized=True, add_special_tokens=False)[0]
+                got = self.own.encode(rest, is_pretokenized=True, add_special_tokens=False)
                 self._add(keys[new[~word]], np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
         numbers = self.numbers[np.searchsorted(self.keys, keys)]
         self.place[2, numbers] += np.bincount(where, minlength=len(keys))
