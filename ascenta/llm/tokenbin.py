@@ -214,18 +214,21 @@ class _TokenTable:
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id and token_ids, packed little-endian 16-bit where the vocabulary allows, else 32-bit.
+    """Rows of id and token_ids, packed little-endian 16-bit where the vocabulary allows, else 32-bit.
 
-    Null text counts as empty and has the end id alone.
+    Null text counts as empty and has the end id alone. Each task ends with one
+    more row, whose counts (null in all others) are how often it met each id, packed 64-bit.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    narrow = _tokenizer(tokenizer_path).get_vocab_size() <= 1 << 16
+    vocabulary = _tokenizer(tokenizer_path).get_vocab_size()
+    narrow, size = vocabulary <= 1 << 16, max(vocabulary, end_id + 1)
 
     def kernel(batches):
         import numpy as np
         import pyarrow as pa
 
         wide = np.dtype("<u2" if narrow else "<u4")
+        total = np.zeros(size, np.int64)
         table = per_process(("tokens", tokenizer_path), lambda: _TokenTable(tokenizer_path))
         for batch in batches:
             ids, counts = table.encode(texts_of(batch.column(1)))
@@ -233,13 +236,17 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
             with_end = np.insert(ids, ends, end_id).astype(wide)
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * wide.itemsize
             packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(with_end.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["id", "token_ids"])
+            total += np.bincount(with_end, minlength=size)
+            id_type = batch.column(0).type
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.nulls(len(counts), pa.binary())], ["id", "token_ids", "counts"])
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([total.tobytes()])], ["id", "token_ids", "counts"])
 
-    return map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, token_ids binary")
+    return map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, token_ids binary, counts binary")
 
 
-def _counts(tokens: DataFrame, size: int, wide) -> bytes:
-    """How often each id occurs, packed 64-bit; one bounded row a task, summed by id."""
+def _counts(rows: DataFrame, size: int):
+    """How often each id occurs, from the tasks' counts."""
 
     def kernel(batches):
         import numpy as np
@@ -248,17 +255,17 @@ def _counts(tokens: DataFrame, size: int, wide) -> bytes:
         total = np.zeros(size, np.int64)
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(packed, wide), minlength=size)
+                total += np.frombuffer(packed, np.int64)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], ["token", "n"])
 
     import numpy as np
 
-    rows = map_arrow(tokens.select("token_ids"), kernel, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
+    summed = map_arrow(rows, kernel, "token int, n long", rows=16).groupBy("token").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
     out = np.zeros(size, np.int64)
-    for token, n in rows:
+    for token, n in summed:
         out[token] = n
-    return out.tobytes()
+    return out
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> TokenFiles:
@@ -279,8 +286,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 1,
     size, wide = max(end_id + 1, vocabulary), np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
     kind = df.schema[id_col].dataType
     tokenize(df, tokenizer_path, end_id, id_col, text_col).write.option("compression", "zstd").parquet(f"{path}/staged")
-    staged = spark.read.schema(T.StructType([T.StructField("id", kind), T.StructField("token_ids", T.BinaryType())])).parquet(f"{path}/staged")
-    counts = np.frombuffer(_counts(staged, size, wide), np.int64)
+    fields = [T.StructField("id", kind), T.StructField("token_ids", T.BinaryType()), T.StructField("counts", T.BinaryType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(f"{path}/staged")
+    counts = _counts(rows.where("counts IS NOT NULL").select("counts"), size)
+    staged = rows.where("counts IS NULL").select("id", "token_ids")
     order = np.lexsort((np.arange(size), -counts))  # the id of each rank
     rank_of = np.empty(size, np.uint32)
     rank_of[order] = np.arange(size)
