@@ -1,0 +1 @@
+"""The derivation is batch only; there is nothing to stream yet."""
