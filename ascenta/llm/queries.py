@@ -13,7 +13,7 @@ import corpus_pipeline
 from . import bpe, exact, html, mixing, near, quality, rules, suffix, tokenbin, urls
 
 #: The tree of the mix, root first, and the integer weights of its named nodes; others weigh 1.
-MIX_LEVELS = {"domain": F.concat(F.lit("domain"), F.pmod(F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"), F.lit(0)), F.lit(3))), "lang": F.col("lang"), "source": F.col("source")}
+MIX_LEVELS = {"domain": "concat('domain', pmod(coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0), 3))", "lang": "lang", "source": "source"}
 MIX_WEIGHTS = {"domain": {"domain0": 5, "domain1": 3, "domain2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (2, 3), 2, 42
 #: The rules of the url contract: host, then path.
@@ -52,8 +52,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    drawn = mixing.mix_sources(docs, MIX_LEVELS, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
-    return drawn.select("doc_id", MIX_LEVELS["domain"].alias("domain"), "lang", "source", "mix_tokens", "mix_copies")
+    levels = {name: F.expr(sql) for name, sql in MIX_LEVELS.items()}
+    drawn = mixing.mix_sources(docs, levels, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
+    return drawn.select("doc_id", levels["domain"].alias("domain"), "lang", "source", "mix_tokens", "mix_copies")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
