@@ -115,9 +115,11 @@ class _TokenTable:
         import xxhash
 
         self.own, self.most = _tokenizer(path), most
-        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and their chunks' numbers
+        # Sorted hashes and their chunks' numbers: most in the first pair, those added lately in the second.
+        self.known = [[np.zeros(0, np.uint64), np.zeros(0, np.int64)] for _ in range(2)]
+        self.count = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.own.get_vocab_size() <= 1 << 16 else np.uint32), 0
-        self.place = np.zeros((3, 0), np.int64)  # start, length and uses of each chunk
+        self.place = np.zeros((3, 1 << 14), np.int64)  # start, length and uses of each chunk
         self.value = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 7) | 1 for b in range(256)], np.uint64)
         self.last = np.zeros(self.own.get_vocab_size(), bool)  # ids that end a word
         self.last[[i for token, i in self.own.get_vocab().items() if token.endswith("</w>")]] = True
@@ -148,20 +150,38 @@ class _TokenTable:
         np.cumsum(self.value[data] * up[: len(data)], out=sums[1:])
         return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
+    def _find(self, keys):
+        """Numbers of sorted hashes, -1 for new ones."""
+        import numpy as np
+
+        out = np.full(len(keys), -1)
+        for held, numbers in self.known:
+            if len(held):
+                at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                same = held[at] == keys
+                out[same] = numbers[at[same]]
+        return out
+
     def _add(self, keys, lengths, ids) -> None:
         """New chunks by their sorted hashes."""
         import numpy as np
 
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        n = self.place.shape[1]
-        new = np.stack([self.used + np.cumsum(lengths) - lengths, lengths, np.zeros_like(lengths)])
-        self.place = np.concatenate([self.place, new], axis=1)
+        end = self.count + len(keys)
+        while self.place.shape[1] < end:
+            self.place = np.concatenate([self.place, np.zeros_like(self.place)], axis=1)
+        self.place[:, self.count : end] = self.used + np.cumsum(lengths) - lengths, lengths, np.zeros_like(lengths)
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.numbers = np.insert(self.numbers, at, np.arange(n, n + len(keys)))
+        late = self.known[1]
+        at = np.searchsorted(late[0], keys)
+        self.known[1] = [np.insert(late[0], at, keys), np.insert(late[1], at, np.arange(self.count, end))]
+        self.count = end
+        if len(self.known[1][0]) > max(1 << 14, len(self.known[0][0]) // 4):
+            both = [np.concatenate(pair) for pair in zip(*self.known, strict=True)]
+            order = np.argsort(both[0], kind="stable")
+            self.known = [[a[order] for a in both], [a[:0] for a in both]]
 
     def _ids(self, numbers):
         """The ids of chunks in a row, and where each chunk's end."""
@@ -175,12 +195,14 @@ class _TokenTable:
     def _trim(self) -> None:
         import numpy as np
 
-        if len(self.keys) <= self.most:
+        if self.count <= self.most:
             return
-        kept = np.flatnonzero(self.place[2, self.numbers] > 1)[: self.most // 2]
-        keys, numbers = self.keys[kept], self.numbers[kept]
+        keys, numbers = (np.concatenate(pair) for pair in zip(*self.known, strict=True))
+        kept = np.flatnonzero(self.place[2, numbers] > 1)[: self.most // 2]
+        kept = kept[np.argsort(keys[kept])]
+        keys, numbers = keys[kept], numbers[kept]
         ids, ends = self._ids(numbers)
-        self.keys, self.numbers, self.place, self.used = self.keys[:0], self.numbers[:0], self.place[:, :0], 0
+        self.known, self.count, self.used = [[keys[:0], numbers[:0]] for _ in range(2)], 0, 0
         self._add(keys, np.diff(ends, prepend=0), ids)
 
     def encode(self, texts: list[bytes]):
@@ -192,8 +214,8 @@ class _TokenTable:
         data = np.frombuffer(raw, np.uint8)
         starts, ends = self._chunks(data) if len(data) else (np.zeros(0, np.int64),) * 2
         keys, first, where = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+        numbers = self._find(keys)
+        new = np.flatnonzero(numbers < 0)
         if len(new):
             chunks = b"\n".join([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]).decode().split("\n")
             word = np.array([_WORD(c) is not None for c in chunks], bool)
@@ -205,7 +227,7 @@ class _TokenTable:
                 rest = list(itertools.compress(chunks, ~word))
                 got = self.own.encode(rest, is_pretokenized=True, add_special_tokens=False)
                 self._add(keys[new[~word]], np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
-        numbers = self.numbers[np.searchsorted(self.keys, keys)]
+            numbers[new] = self._find(keys[new])
         self.place[2, numbers] += np.bincount(where, minlength=len(keys))
         ids, stops = self._ids(numbers[where])
         bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
