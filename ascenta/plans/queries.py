@@ -244,9 +244,9 @@ def resample(spark, sf_dir):
     return _samples(spark, sf_dir).select("id", "seq", "k", *(F.round(c, 4).alias(c) for c in ("d", "x", "y")))
 
 
-@query(_SAMPLES_SQL + f", {_BILINEAR_SQL} SELECT id, seq::INT AS seq, k, round(z, 3) AS z FROM read")
+@query(_SAMPLES_SQL + f", {_BILINEAR_SQL} SELECT id, seq::INT AS seq, k, round(z + 0.0001::DOUBLE, 3) AS z FROM read")
 def bilinear_plane(spark, sf_dir):
-    return _read(spark, sf_dir).select("id", "seq", "k", F.round("z", 3).alias("z"))
+    return _read(spark, sf_dir).select("id", "seq", "k", F.round(F.col("z") + 0.0001, 3).alias("z"))  # off the ties
 
 
 _OUTCOME_SQL = """judged AS (
@@ -266,12 +266,12 @@ def nodata_drop_counts(spark, sf_dir):
 
 @query(_SAMPLES_SQL + f""", {_BILINEAR_SQL}, {_OUTCOME_SQL}, ends AS (
   SELECT id, seq, max(d) AS total, arg_min(z, k) AS a, arg_max(z, k) AS b FROM read JOIN judged USING (id, seq) WHERE bad = 0 AND length > 0 AND structure IS NOT NULL GROUP BY id, seq
-) SELECT id, seq::INT AS seq, k, round(a + (b - a) * d / total, 3) AS z FROM read JOIN ends USING (id, seq)""")
+) SELECT id, seq::INT AS seq, k, round(a + (b - a) * d / total + 0.0001::DOUBLE, 3) AS z FROM read JOIN ends USING (id, seq)""")
 def deck_interpolation(spark, sf_dir):
     read = _read(spark, sf_dir)
     kept = tiles.judged(read, ["id", "seq"]).where("outcome = 'kept' AND structure IS NOT NULL").select("id", "seq")
     decks = read.join(kept, ["id", "seq"]).groupBy("id", "seq").agg(F.sort_array(F.collect_list(F.struct("k", "d", "z"))).alias("s"))
-    return decks.select("id", "seq", F.posexplode(profiles.deck(F.col("s.z"), F.col("s.d"))).alias("k", "z")).withColumn("z", F.round("z", 3))
+    return decks.select("id", "seq", F.posexplode(profiles.deck(F.col("s.z"), F.col("s.d"))).alias("k", "z")).withColumn("z", F.round(F.col("z") + 0.0001, 3))
 
 
 @query(f"WITH {NETWORK_SQL}, {_ENDS_SQL} SELECT candidate_id, foot, top, length FROM e")
