@@ -34,7 +34,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made().append(path)
+    return path
+
+
+def made() -> list[str]:
+    """The paths this process has made in the shared folder."""
+    return per_process(("made",), list)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what operators have written to the shared folder; their results can't be read afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made():
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    made().clear()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -103,6 +103,51 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, kept, sha256(bare) AS text_sha256 FROM r
 """
 
+_OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+"""
+
+#: Bytes as pairs of hex digits, since SQL slices text; windows are cut out of pieces of 256 starts, so that no long text is copied for each.
+_OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), piece AS (
+  SELECT doc_id, n, k, substr(h, 512 * k + 1, 710) AS part FROM (SELECT *, unnest(range((n - 99 + 255) // 256)) AS k FROM d WHERE n >= 100)
+), w AS (
+  SELECT doc_id, 256 * k + q AS p, row_number() OVER (PARTITION BY substr(part, 2 * q + 1, 200) ORDER BY doc_id, 256 * k + q) > 1 AS again
+  FROM (SELECT *, unnest(range(least(256, n - 99 - 256 * k))) AS q FROM piece)
+), r AS (
+  SELECT doc_id, p, lag(p) OVER o AS before, lead(p) OVER o AS after FROM w WHERE again WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), removed AS (
+  SELECT doc_id, sum(least(100, coalesce(after - p, 100))) AS n_removed, count(*) FILTER (WHERE before IS NULL OR p - before > 100) AS n_spans FROM r GROUP BY doc_id
+), cut AS (
+  SELECT doc_id, p + 100 AS a, after AS b FROM r WHERE after IS NULL OR after - p > 100
+  UNION ALL SELECT doc_id, 0, min(p) FROM r GROUP BY doc_id
+  UNION ALL SELECT doc_id, 0, NULL FROM d WHERE doc_id NOT IN (SELECT doc_id FROM r)
+), kept AS (
+  SELECT doc_id, string_agg(CASE WHEN b IS NULL THEN substr(h, 2 * a + 1) ELSE substr(h, 2 * a + 1, 2 * (b - a)) END, '' ORDER BY a) AS h FROM cut JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 _PHRASES = " OR ".join(f"contains(lower(s), '{p}')" for p in rules.BOILERPLATE)
 _WORD_COUNT = r"len(list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> ''))"
 _OP10_SQL = rf"""
@@ -199,6 +244,6 @@ SELECT doc_id, domain, lang, source, mix_tokens, (whole + (ends <= rest)::INT)::
 FROM o WHERE whole + (ends <= rest)::INT > 0
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2_SQL, "op6_mixing": _OP6_SQL, "op10_quality_rules": _OP10_SQL}
+ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2_SQL, "op3_near_dedup": _OP3_SQL, "op4_suffix_dedup": _OP4_SQL, "op6_mixing": _OP6_SQL, "op10_quality_rules": _OP10_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
