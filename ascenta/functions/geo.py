@@ -79,6 +79,45 @@ def covers(ring: Column, lon: Column, lat: Column) -> Column:
     return F.exists(edges, lambda e: e["on"]) | (F.aggregate(edges, F.lit(0), lambda s, e: s + e["hits"]) % 2 == 1)
 
 
+def touches(ring: Column, x: Column, y: Column, metres: float) -> Column:
+    """Whether a line (arrays of metres) comes within *metres* of a closed ring (array of x, y) or lies in it.
+
+    A box test comes first; then any vertex inside or any distance between a
+    vertex of one and an edge of the other within reach. *metres* must be over 0: lines
+    that cross an edge are then near a vertex or inside, unless both cross far
+    from all vertices, for which the crossing itself is tested.
+    """
+    from ..operators.arrays import indices
+
+    def bounds(values: Column) -> tuple[Column, Column]:
+        return F.array_min(values), F.array_max(values)
+
+    (rx0, rx1), (ry0, ry1) = bounds(F.transform(ring, lambda p: p["x"])), bounds(F.transform(ring, lambda p: p["y"]))
+    (x0, x1), (y0, y1) = bounds(x), bounds(y)
+    box = (x0 <= rx1 + metres) & (x1 >= rx0 - metres) & (y0 <= ry1 + metres) & (y1 >= ry0 - metres)
+
+    def gap(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+        """Metres from a point to a stretch."""
+        dx, dy = bx - ax, by - ay
+        length = dx * dx + dy * dy
+        t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / length))).otherwise(F.lit(0.0))
+        return F.hypot(px - ax - t * dx, py - ay - t * dy)
+
+    side = lambda ax, ay, bx, by, px, py: (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+
+    def near(i: Column, j: Column) -> Column:
+        ax, ay, bx, by = F.get(x, i), F.get(y, i), F.get(x, i + 1), F.get(y, i + 1)
+        c, d = F.get(ring, j), F.get(ring, j + 1)
+        cx, cy, dx, dy = c["x"], c["y"], d["x"], d["y"]
+        crossing = (side(ax, ay, bx, by, cx, cy) * side(ax, ay, bx, by, dx, dy) < 0) & (side(cx, cy, dx, dy, ax, ay) * side(cx, cy, dx, dy, bx, by) < 0)
+        reach = F.least(gap(ax, ay, cx, cy, dx, dy), gap(bx, by, cx, cy, dx, dy), gap(cx, cy, ax, ay, bx, by), gap(dx, dy, ax, ay, bx, by))
+        return crossing | (reach <= metres)
+
+    inside = F.exists(F.arrays_zip(x.alias("x"), y.alias("y")), lambda p: covers(F.transform(ring, lambda q: F.struct(q["x"].alias("lon"), q["y"].alias("lat"))), p["x"], p["y"]))
+    close = F.exists(indices(F.size(x) - 1), lambda i: F.exists(indices(F.size(ring) - 1), lambda j: near(i, j)))
+    return F.coalesce(box & (inside | close), F.lit(False))
+
+
 def _cartesian(lat, lon, ellipsoid):
     import numpy as np
 

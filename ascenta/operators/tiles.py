@@ -18,6 +18,11 @@ def to_fetch(planned: DataFrame, files: DataFrame) -> DataFrame:
     return planned.join(files.where(F.col("sha256") == F.col("recorded")), ["tx", "ty"], "left_anti").select("tx", "ty")
 
 
+def first_to_fetch(planned: DataFrame, files: DataFrame, n: int) -> DataFrame:
+    """The first *n* tiles, in order, that need fetching."""
+    return to_fetch(planned, files).orderBy("tx", "ty").limit(n)
+
+
 def stats(pixels: DataFrame) -> DataFrame:
     """One row over tiles (tx, ty, z): pixels, those without terrain, wholly empty tiles, and the range of heights."""
     real = (F.col("z") != NODATA) & (F.col("z") != 0)

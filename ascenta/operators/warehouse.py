@@ -68,13 +68,12 @@ def violations(climbs: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def derivation_faults(derivations: DataFrame) -> DataFrame:
-    """Derivation rows that break a rule: digests of 64 hex digits, a known model, assignment by summit, an override that is an object."""
-    digest = lambda c: ~F.coalesce(F.col(c).rlike("^[0-9a-f]{64}$"), F.lit(False))
+    """Derivation rows that break a rule: an engine commit of 40 hex digits, a known model, assignment by summit, an override that is an object."""
     override = F.col("engine_config_override")
     checks = {
-        "sha": digest("osm_sha256"),
+        "commit": ~F.coalesce(F.col("engine_commit").rlike("^[0-9a-f]{40}$"), F.lit(False)),
         "model": ~F.coalesce(F.col("scoring_model").isin(*SCORING_MODELS), F.lit(False)),
-        "assignment": ~F.coalesce(F.col("region_assignment") == "summit", F.lit(False)),
+        "assignment": ~F.coalesce(F.col("boundary_assignment") == "summit", F.lit(False)),
         "override": override.isNotNull() & ~F.coalesce(override.rlike(r"^\s*\{") & F.try_parse_json(override).isNotNull(), F.lit(False)),
     }
     return derivations.select("id", F.explode(F.filter(F.array(*(F.when(v, F.lit(k)) for k, v in checks.items())), lambda r: r.isNotNull())).alias("rule"))
@@ -86,6 +85,31 @@ def matching_derivation(derivations: DataFrame, wanted: DataFrame) -> DataFrame:
     return same.orderBy("id").limit(1)
 
 
+def checked(climbs: DataFrame) -> DataFrame:
+    """Climbs as they are; one with an unknown category or without coordinates raises when it is read."""
+    known = F.col("category").isNull() | F.col("category").isin(*CATEGORIES)
+    placed = F.col("start_lon").isNotNull() & F.col("start_lat").isNotNull() & F.col("top_lon").isNotNull() & F.col("top_lat").isNotNull()
+    rules = F.coalesce(
+        F.assert_true(known, F.concat(F.lit("unknown category "), F.coalesce("category", F.lit("")))),
+        F.assert_true(placed, F.concat(F.lit("no coordinates for climb "), F.col("climb_id").cast("string"))),
+        F.lit(True),
+    )
+    return climbs.where(rules)
+
+
+def with_ids(profiles: DataFrame, climbs: DataFrame) -> DataFrame:
+    """Profiles by identity (way_refs, start_node_id, end_node_id) with the climb_id that identity got: never by order."""
+    key = ["way_refs", "start_node_id", "end_node_id"]
+    return profiles.join(climbs.select("climb_id", *key), key)
+
+
+def region_histogram(climbs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Climbs and profile points (climb_id, geom) by region, "outside" for none."""
+    points = profiles.groupBy("climb_id").agg(F.sum(F.size("geom")).alias("points"))
+    joined = climbs.join(points, "climb_id", "left")
+    return joined.groupBy(F.coalesce("region_code", F.lit("outside")).alias("region_code")).agg(F.count("*").alias("climbs"), F.coalesce(F.sum("points"), F.lit(0)).alias("points"))
+
+
 def point(lon: Column, lat: Column) -> Column:
     """A point as EWKT, longitude first."""
     return F.concat(F.lit("SRID=4326;POINT("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))

@@ -111,3 +111,67 @@ def already_done(output: str | Path, manifest: str | Path, wanted: Mapping, forc
 def fetch_plan(tiles: int, bytes_each: int, rate: int = 3_000_000) -> dict[str, float]:
     """What a dry run says: tiles, bytes and seconds at a rate."""
     return {"tiles": tiles, "bytes": tiles * bytes_each, "seconds": tiles * bytes_each / rate}
+
+
+#: Columns of a derivation and where the manifests hold them.
+DERIVATION = {
+    "way_filter_version": ("candidates", "way_filter", "version"),
+    "structure_version": ("candidates", "way_filter", "structure"),
+    "osm_snapshot_sha256": ("candidates", "osm_snapshot", "sha256"),
+    "osm_snapshot_replication_ts": ("candidates", "osm_snapshot", "replication_ts"),
+    "osm_snapshot_seq": ("candidates", "osm_snapshot", "replication_seq"),
+    "boundary_relation_id": ("candidates", "boundary", "relation_id"),
+    "boundary_relation_version": ("candidates", "boundary", "relation_version"),
+    "boundary_buffer_m": ("candidates", "boundary", "buffer_m"),
+    "boundary_assignment": ("candidates", "boundary", "assignment"),
+    "dem_product": ("dem", "dem", "product"),
+    "dem_route": ("dem", "dem", "route"),
+    "dem_resolution_m": ("dem", "dem", "resolution_m"),
+    "dem_crs": ("dem", "dem", "crs"),
+    "dem_vertical_crs": ("dem", "dem", "vertical_crs"),
+    "dem_nodata_value": ("dem", "dem", "nodata_value"),
+    "dem_fetched_at": ("dem", "dem", "fetched_at"),
+}
+
+
+def derivation_row(manifests: Mapping[str, Mapping], snapshot_url: str, dem_sha256: str) -> dict:
+    """The derivation's columns out of the stages' manifests; what a manifest lacks or misstates is named."""
+    row = {"osm_snapshot_url": snapshot_url, "dem_manifest_sha256": dem_sha256}
+    for column, path in DERIVATION.items():
+        value = manifests
+        for step in path:
+            if not isinstance(value, Mapping) or step not in value:
+                raise StageError("load", f"{path[0]} manifest has no {'.'.join(path[1:])}")
+            value = value[step]
+        row[column] = value
+    try:
+        row["osm_snapshot_seq"] = int(row["osm_snapshot_seq"])
+        whole = int(row["boundary_buffer_m"])
+    except (TypeError, ValueError) as wrong:
+        raise StageError("load", f"a number is misstated: {wrong}") from wrong
+    if whole != row["boundary_buffer_m"]:
+        raise StageError("load", f"boundary.buffer_m {row['boundary_buffer_m']} is not a whole number of metres")
+    engine = manifests.get("climbs", {}).get("derivation")
+    if not isinstance(engine, Mapping):
+        raise StageError("load", "climbs manifest has no derivation")
+    return {**engine, **row, "boundary_buffer_m": whole}
+
+
+def vouch(links: list[tuple[str, str | None, str | None]]) -> None:
+    """Each link is (what, digest recorded by the later stage, digest found); the first that differs is named."""
+    for what, recorded, found in links:
+        if not recorded or recorded != found:
+            raise StageError("load", f"{what} is not what the next stage was derived from")
+
+
+def same_grid(recorded: Mapping, wanted: Mapping) -> None:
+    """A mosaic that was begun on another grid is refused."""
+    for key, value in wanted.items():
+        if recorded and recorded.get(key, value) != value:
+            raise StageError("dem", f"{key} was {recorded[key]}, now {value}; begin a new folder")
+
+
+def complete(planned: int, held: int) -> None:
+    """A mosaic with tiles missing is neither recorded nor sampled."""
+    if held < planned:
+        raise StageError("dem", f"{planned - held} of {planned} tiles are missing")

@@ -113,6 +113,25 @@ def extract_counts(spark, sf_dir):
     return network.extract_counts(own, network.reasons(network.junction_segments(network.ridden(own))))
 
 
+_RING = [(-469500.0, -1105000.0), (-468000.0, -1105000.0), (-468000.0, -1106000.0), (-469500.0, -1106000.0), (-469500.0, -1105000.0)]
+
+
+@query(f"WITH {NETWORK_SQL}, {VERTEX_SQL} SELECT id, seq::INT AS seq, bool_or(x BETWEEN -469500 AND -468000 AND y BETWEEN -1106000 AND -1105000) AS inside FROM vertex GROUP BY id, seq")
+def vertices_in_boundary(spark, sf_dir):
+    from ..functions.geo import covers
+
+    ring = F.array(*(F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in _RING))
+    return _lines(spark, sf_dir).select("id", "seq", F.exists(F.arrays_zip("x", "y"), lambda p: covers(ring, p["x"], p["y"])).alias("inside"))
+
+
+@query()
+def boundary_touch(spark, sf_dir):
+    from ..functions.geo import touches
+
+    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in _RING))
+    return _lines(spark, sf_dir).select("id", "seq", touches(ring, F.col("x"), F.col("y"), 200.0).alias("touches"))
+
+
 # --- grid ----------------------------------------------------------------
 
 _S = TILE_PX * 2
@@ -196,6 +215,12 @@ def tile_stats(spark, sf_dir):
     return tiles.stats(pixels)
 
 
+@query(_GRID_SQL + f""", {_KNOWN_SQL} SELECT tx, ty FROM (SELECT tx, ty FROM cover EXCEPT SELECT tx, ty FROM held) ORDER BY tx, ty LIMIT 25""")
+def next_tiles(spark, sf_dir):
+    """The first 25 tiles that need fetching: the limit is the feature."""
+    return tiles.first_to_fetch(grid.tile_cover(_pieces(spark, sf_dir), TILE_PX, HALO_M), _held(spark, sf_dir).withColumns({"sha256": F.lit("x"), "recorded": F.lit("x")}), 25)
+
+
 # --- profiles ------------------------------------------------------------
 
 _RESAMPLE_SQL = f"""step AS (
@@ -546,6 +571,39 @@ def line_length_m(spark, sf_dir):
     return lines.select("id", "seq", F.round(line_length(F.col("lon"), F.col("lat")), 3).alias("length_m"))
 
 
+@query(f"WITH {_IDENTITY_SQL}, p AS (SELECT DISTINCT array_to_string(way_refs, ',') AS way_refs, s, t, len(way_refs) AS n FROM k) SELECT climb_id, p.n::INT AS n FROM p JOIN anchor USING (way_refs, s, t)")
+def ids_by_anchor(spark, sf_dir):
+    own = _identified(spark, sf_dir)
+    lines = own.select("way_refs", "start_node_id", "end_node_id", F.size("way_refs").alias("n")).distinct()
+    return warehouse.with_ids(lines, anchors.unique_anchors(own)).select("climb_id", "n")
+
+
+@query(f"WITH {_ASSIGNED_SQL}, o AS (SELECT o_custkey AS c_custkey, sum(o_orderkey % 7)::BIGINT AS points FROM orders GROUP BY o_custkey) SELECT coalesce(region_code, 'outside') AS region_code, count(*) AS climbs, coalesce(sum(points), 0)::BIGINT AS points FROM assigned LEFT JOIN o USING (c_custkey) GROUP BY ALL")
+def region_histogram(spark, sf_dir):
+    found = warehouse.assign_region(_points(spark, sf_dir), _regions(spark, sf_dir), ["c_custkey"]).withColumnRenamed("c_custkey", "climb_id")
+    lines = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("climb_id"), arrays.indices((F.col("o_orderkey") % 7).cast("int")).alias("geom"))
+    return warehouse.region_histogram(found, lines)
+
+
+@query(f"""WITH {_POINTS_SQL}, ask AS (SELECT s_suppkey, 12 + (s_suppkey * 11 % 1600) / 200.0::DOUBLE AS q_lon, 48.5::DOUBLE + (s_suppkey * 17 % 560) / 200.0::DOUBLE AS q_lat FROM supplier)
+SELECT s_suppkey AS ask_id, c_custkey AS climb_id FROM ask, point WHERE {_distance_sql("q_lon", "q_lat", "lon", "lat")} <= 3000 AND {_distance_sql("(q_lon + 0.01)", "q_lat", "(lon + 0.02)", "lat")} <= 5000""")
+def resolve_climbs(spark, sf_dir):
+    key = F.col("s_suppkey")
+    lon, lat = F.lit(12) + (key * 11 % 1600) / F.lit(200.0), F.lit(48.5) + (key * 17 % 560) / F.lit(200.0)
+    asked = table(spark, sf_dir, "supplier").select(key.alias("ask_id"), lon.alias("top_lon"), lat.alias("top_lat"), (lon + 0.01).alias("start_lon"), lat.alias("start_lat"))
+    climbs = _points(spark, sf_dir).select(F.col("c_custkey").alias("climb_id"), F.col("lon").alias("top_lon"), F.col("lat").alias("top_lat"), (F.col("lon") + 0.02).alias("start_lon"), F.col("lat").alias("start_lat"))
+    return warehouse.resolve(climbs, asked, 3000.0, 5000.0)
+
+
+@query("""SELECT doc_id, try_cast(regexp_extract_all(w, 'AUTHORITY\["EPSG","([0-9]+)"\]', 1)[-1] AS INT) AS epsg FROM (SELECT doc_id, 'PROJCS["' || lang || '",AUTHORITY["EPSG","4156"]]' || CASE WHEN doc_id % 2 = 0 THEN ',AUTHORITY["EPSG","' || doc_id || '"]' ELSE '' END AS w FROM documents)""")
+def declared_crs(spark, sf_dir):
+    from .provenance import declared_epsg
+
+    more = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(',AUTHORITY["EPSG","'), F.col("doc_id").cast("string"), F.lit('"]'))).otherwise("")
+    wkt = F.concat(F.lit('PROJCS["'), "lang", F.lit('",AUTHORITY["EPSG","4156"]]'), more)
+    return table(spark, sf_dir, "documents").select("doc_id", declared_epsg(wkt).alias("epsg"))
+
+
 _BROKEN_SQL = """climb AS (
   SELECT o_orderkey AS climb_id, CASE WHEN o_orderkey % 17 > 0 THEN [o_custkey] ELSE [] END AS way_refs, o_orderkey % 101 AS s, o_custkey % 5 AS t,
          (o_orderkey % 19)::DOUBLE AS dist_m, (o_orderkey % 23)::DOUBLE AS gain, CASE o_orderkey % 29 WHEN 0 THEN '9' WHEN 1 THEN NULL ELSE '4' END AS category,

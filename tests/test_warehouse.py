@@ -38,10 +38,10 @@ def test_publication(spark, tmp_path):
 
 
 def test_derivation_rules(spark):
-    good = ("0" * 64, "aso", "summit", None)
+    good = ("0" * 40, "aso", "summit", None)
     rows = [(0, *good), (1, "xyz", *good[1:]), (2, good[0], "own", *good[2:]), (3, *good[:2], "start", None), (4, *good[:3], "[1]"), (5, *good[:3], '{"a": 1}'), (6, *good[:3], "null")]
-    df = spark.createDataFrame(rows, "id int, osm_sha256 string, scoring_model string, region_assignment string, engine_config_override string")
-    assert {(r.id, r.rule) for r in warehouse.derivation_faults(df).collect()} == {(1, "sha"), (2, "model"), (3, "assignment"), (4, "override"), (6, "override")}
+    df = spark.createDataFrame(rows, "id int, engine_commit string, scoring_model string, boundary_assignment string, engine_config_override string")
+    assert {(r.id, r.rule) for r in warehouse.derivation_faults(df).collect()} == {(1, "commit"), (2, "model"), (3, "assignment"), (4, "override"), (6, "override")}
 
 
 def test_resolution(spark):
@@ -86,3 +86,90 @@ def test_fetching(spark):
     tiles = spark.createDataFrame([(-1, 2)], "tx long, ty long")
     row = terrain.fetch_tiles(tiles, lambda u: (good, None), "http://x/export", 256, 128).first()
     assert "bbox=-256%2C512%2C0%2C768" in row.url and len(row.sha256) == 64
+
+
+def test_checked_and_ids(spark):
+    rows = [(1, "4", 18.0, 49.0, 18.1, 49.1), (2, None, 18.0, 49.0, 18.1, 49.1)]
+    schema = "climb_id int, category string, start_lon double, start_lat double, top_lon double, top_lat double"
+    assert warehouse.checked(spark.createDataFrame(rows, schema)).count() == 2
+    for bad, what in (((3, "5", 1.0, 1.0, 1.0, 1.0), "category 5"), ((4, None, None, 1.0, 1.0, 1.0), "climb 4")):
+        with pytest.raises(Exception, match=what):
+            warehouse.checked(spark.createDataFrame([*rows, bad], schema)).collect()
+
+
+def test_boundary(spark):
+    from ascenta.functions.geo import touches
+
+    ring = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (100, 0), (100, 100), (0, 100), (0, 0))))
+    cases = [([10.0, 20.0], [10.0, 20.0], True), ([-50.0, 150.0], [50.0, 50.0], True), ([105.0, 200.0], [50.0, 50.0], True), ([111.0, 200.0], [50.0, 50.0], False), ([-20.0, 50.0], [120.0, 108.0], True), ([500.0, 600.0], [0.0, 1.0], False)]
+    df = spark.createDataFrame([(k, x, y) for k, (x, y, _) in enumerate(cases)], "k int, x array<double>, y array<double>")
+    assert {r.k: r.t for r in df.select("k", touches(ring, F.col("x"), F.col("y"), 10.0).alias("t")).collect()} == {k: c[2] for k, c in enumerate(cases)}
+
+
+def test_derivation_row():
+    m = {
+        "candidates": {"osm_snapshot": {"sha256": "s", "replication_ts": "t", "replication_seq": "4897"}, "boundary": {"relation_id": 1, "relation_version": 2, "buffer_m": 10000.0, "assignment": "summit"}, "way_filter": {"version": "v", "structure": "w"}},
+        "dem": {"dem": {"product": "p", "route": "r", "resolution_m": 2, "crs": 5514, "vertical_crs": 8357, "nodata_value": -9999.0, "fetched_at": "f"}},
+        "climbs": {"derivation": {"engine_version": "1", "engine_commit": "a" * 40, "scoring_model": "aso", "engine_config_override": {}}},
+    }
+    row = provenance.derivation_row(m, "url", "d")
+    assert len(row) == 22 and row["osm_snapshot_seq"] == 4897 and row["boundary_buffer_m"] == 10000
+    m["candidates"]["boundary"]["buffer_m"] = 10.5
+    with pytest.raises(SystemExit, match="whole"):
+        provenance.derivation_row(m, "url", "d")
+    del m["dem"]["dem"]["route"]
+    with pytest.raises(SystemExit, match="dem manifest has no dem.route"):
+        provenance.derivation_row(m, "url", "d")
+    provenance.vouch([("profiles", "x", "x")])
+    with pytest.raises(SystemExit, match="profiles"):
+        provenance.vouch([("profiles", "x", "y")])
+    provenance.same_grid({}, {"tile_px": 128})
+    with pytest.raises(SystemExit, match="tile_px"):
+        provenance.same_grid({"tile_px": 64}, {"tile_px": 128})
+    provenance.complete(3, 3)
+    with pytest.raises(SystemExit, match="1 of 3"):
+        provenance.complete(3, 2)
+
+
+def test_migrations(tmp_path):
+    from ascenta.plans import migrate
+
+    def pair(name, up="select 1; select 2", down="select 3"):
+        (tmp_path / f"{name}.up.sql").write_text(up)
+        (tmp_path / f"{name}.down.sql").write_text(down)
+
+    pair("0001_a", "-- note; not a statement\nselect 1; select 2")
+    pair("0002_b")
+    ran, applied = [], set()
+    changes = migrate.discover(tmp_path)
+    assert migrate.up(ran.append, applied, changes, to=1) == [1] and ran == ["select 1", "select 2"]
+    assert migrate.up(ran.append, applied, changes) == [2] and migrate.up(ran.append, applied, changes) == []
+    assert migrate.down(ran.append, applied, changes, to=1) == [2] and applied == {1}
+    pair("0004_d")
+    with pytest.raises(SystemExit, match="0003"):
+        migrate.discover(tmp_path)
+    pair("0003_c")
+    (tmp_path / "0003_c.down.sql").unlink()
+    with pytest.raises(SystemExit, match="no 0003_c.down.sql"):
+        migrate.discover(tmp_path)
+    pair("0003_c")
+    pair("0003_e")
+    with pytest.raises(SystemExit, match="two changes"):
+        migrate.discover(tmp_path)
+
+
+def test_tables(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ascenta.sources import tables
+
+    pq.write_table(pa.table({"candidate_id": pa.array([1, 2], pa.uint64()), "ids": pa.array([[1], [2, 3]], pa.list_(pa.uint64()))}), tmp_path / "a.parquet")
+    df = tables.read_table(spark, f"file://{tmp_path}/a.parquet")
+    assert dict(df.dtypes) == {"candidate_id": "bigint", "ids": "array<bigint>"}
+    for _ in range(2):
+        tables.write_table(df, f"file://{tmp_path}/out")
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 2
+    with pytest.raises(Exception, match="torn"):
+        tables.write_table(df.withColumn("x", F.raise_error(F.lit("torn")).cast("string")), f"file://{tmp_path}/out")
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 2
