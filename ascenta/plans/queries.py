@@ -259,7 +259,7 @@ def _samples(spark, sf_dir):
 
 
 def _read(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
+    samples = _samples(spark, sf_dir).checkpoint()  # read three times below
     dem = profiles.corners(samples).select("px", "py").distinct().select("px", "py", F.expr(_DEM).cast("double").alias("z"))
     return profiles.bilinear(samples, ["id", "seq", "k"], dem)
 
@@ -293,7 +293,7 @@ def nodata_drop_counts(spark, sf_dir):
   SELECT id, seq, max(d) AS total, arg_min(z, k) AS a, arg_max(z, k) AS b FROM read JOIN judged USING (id, seq) WHERE bad = 0 AND length > 0 AND structure IS NOT NULL GROUP BY id, seq
 ) SELECT id, seq::INT AS seq, k, round(a + (b - a) * d / total + 0.0001::DOUBLE, 3) AS z FROM read JOIN ends USING (id, seq)""")
 def deck_interpolation(spark, sf_dir):
-    read = _read(spark, sf_dir)
+    read = _read(spark, sf_dir).checkpoint()
     kept = tiles.judged(read, ["id", "seq"]).where("outcome = 'kept' AND structure IS NOT NULL").select("id", "seq")
     decks = read.join(kept, ["id", "seq"]).groupBy("id", "seq").agg(F.sort_array(F.collect_list(F.struct("k", "d", "z"))).alias("s"))
     return decks.select("id", "seq", F.posexplode(profiles.deck(F.col("s.z"), F.col("s.d"))).alias("k", "z")).withColumn("z", F.round(F.col("z") + 0.0001, 3))
@@ -595,7 +595,7 @@ def resolve_climbs(spark, sf_dir):
     return warehouse.resolve(climbs, asked, 3000.0, 5000.0)
 
 
-@query("""SELECT doc_id, try_cast(regexp_extract_all(w, 'AUTHORITY\["EPSG","([0-9]+)"\]', 1)[-1] AS INT) AS epsg FROM (SELECT doc_id, 'PROJCS["' || lang || '",AUTHORITY["EPSG","4156"]]' || CASE WHEN doc_id % 2 = 0 THEN ',AUTHORITY["EPSG","' || doc_id || '"]' ELSE '' END AS w FROM documents)""")
+@query(r"""SELECT doc_id, try_cast(regexp_extract_all(w, 'AUTHORITY\["EPSG","([0-9]+)"\]', 1)[-1] AS INT) AS epsg FROM (SELECT doc_id, 'PROJCS["' || lang || '",AUTHORITY["EPSG","4156"]]' || CASE WHEN doc_id % 2 = 0 THEN ',AUTHORITY["EPSG","' || doc_id || '"]' ELSE '' END AS w FROM documents)""")
 def declared_crs(spark, sf_dir):
     from .provenance import declared_epsg
 
@@ -650,10 +650,9 @@ def version_fields(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", field(line, 1).alias("key"), field(line, 2).alias("value"))
 
 
-@query("""SELECT event_id, props, regexp_extract(props, '"k": *([0-9]+)', 1) AS k FROM events WHERE regexp_extract(props, '"k": *([0-9]+)', 1)::INT % 2 = 0""")
-def manifest_paths(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    return events.where(F.col("k").cast("int") % 2 == 0).select("event_id", "props", "k")
+@query("""SELECT event_id, regexp_extract(props, '"k": *([0-9]+)', 1) AS k FROM events""")
+def manifest_values(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
 @query("SELECT o_orderkey, sha256('{\"predicate\":\"' || o_orderpriority || '\",\"structure\":\"' || o_orderstatus || '\"}') AS signature FROM orders")
