@@ -217,3 +217,33 @@ def project_lines(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFram
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(x)), pa.ListArray.from_arrays(offsets, pa.array(y))], [*batch.schema.names, "x", "y"])
 
     return df.select(*kept).mapInArrow(kernel, f"{schema}, x array<double>, y array<double>")
+
+
+def with_wkb(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """*df* with geometry, each line (arrays of degrees) as a little-endian WKB LineString; null for null arrays."""
+    kept = [c for c in df.columns if c != "geometry"]
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
+    i, j = kept.index(lon), kept.index(lat)
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            lines = []
+            for x, y in zip(batch.column(i).to_pylist(), batch.column(j).to_pylist(), strict=True):
+                known = x is not None and y is not None
+                lines.append(b"\x01\x02\x00\x00\x00" + np.uint32(len(x)).tobytes() + np.column_stack([x, y]).astype("<f8").tobytes() if known else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.binary())], [*batch.schema.names, "geometry"])
+
+    return df.select(*kept).mapInArrow(kernel, f"{schema}, geometry binary")
+
+
+def from_wkb(geometry: bytes) -> list[tuple[float, float]]:
+    """The points of a little-endian WKB LineString."""
+    import struct
+
+    if geometry[:5] != b"\x01\x02\x00\x00\x00":
+        raise ValueError("no LineString")
+    values = struct.unpack_from(f"<{2 * struct.unpack_from('<I', geometry, 5)[0]}d", geometry, 9)
+    return list(zip(values[::2], values[1::2], strict=True))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import collapse_repeats, ends_with, numbered
+from .arrays import collapse_repeats, numbered
 
 #: Metres by which a climb may reach over a junction without taking the candidate beyond.
 TOLERANCE = 1.0
@@ -112,5 +112,3 @@ def anchor_counts(anchors: DataFrame) -> DataFrame:
     shared = anchors.groupBy("end_node_id").count().where("count > 1").agg(F.count("*").alias("multi_climb_summits"))
     return sizes.join(F.broadcast(shared))  # one row
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["ends_with"]

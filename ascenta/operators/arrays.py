@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +16,6 @@ def collapse_repeats(values: Column) -> Column:
     return F.filter(values, lambda x, i: (i == 0) | (x != F.get(values, i - 1)))
 
 
-def ends_with(longer: Column, shorter: Column) -> Column:
-    """Whether one array is a suffix of another; true for equal ones."""
-    fits = F.size(longer) >= F.size(shorter)
-    return fits & (F.slice(longer, F.when(fits, F.size(longer) - F.size(shorter) + 1).otherwise(1), F.size(shorter)) == shorter)
-
-
 def numbered(df: DataFrame, name: str, lead: str, *order: str, width: int = 1024) -> DataFrame:
     """*df* with *name*, each row's place (from 0) in the order of the whole number *lead*, then *order*.
 
@@ -40,7 +32,3 @@ def numbered(df: DataFrame, name: str, lead: str, *order: str, width: int = 1024
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(lead, *order)) - 1
     placed = rows.withColumn("__i", inside).join(starts.select("__range", (F.col("__a") + F.col("__b")).alias("__first")), "__range")
     return placed.withColumn(name, (F.col("__first") + F.col("__i")).cast("long")).drop("__range", "__i", "__first")
-
-
-def all_of(conditions) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
