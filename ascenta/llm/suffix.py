@@ -361,6 +361,11 @@ def _repeated_windows(items, length: int):
     return out
 
 
+def _exchange(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows dealt by their label, in an order that their bytes fix: a task that runs again must cut the same runs."""
+    return rows.repartition(parts, "part").sortWithinPartitions("part", "kind", "doc", "blob")
+
+
 def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
     """Repeated spans of *df* (doc: unique long, text), dealt by document: rows of kind 0."""
     spark = df.sparkSession
@@ -536,7 +541,7 @@ def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
                 yield from _flush((part, 0, None, _packed(those)) for part, those in _dealt(found, _place(found["doc"], labels)))
 
     def exchange(rows: DataFrame) -> DataFrame:
-        return rows.repartition(len(labels), "part").sortWithinPartitions("part", "kind", "doc")
+        return _exchange(rows, len(labels))
 
     runs = map_arrow(df, seek, _ROW)
     hits = map_arrow(exchange(runs), pair, _ROW)
@@ -635,5 +640,4 @@ def _apply(docs: DataFrame, length: int, parts: int) -> DataFrame:
 
     labels = _labels(docs.sparkSession, parts)
     marked = _mark(docs, length, labels).unionByName(_texts(docs, labels))
-    dealt = marked.repartition(parts, "part").sortWithinPartitions("part", "kind", "doc")
-    return map_arrow(dealt, kernel, "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return map_arrow(_exchange(marked, parts), kernel, "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

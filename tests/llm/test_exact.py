@@ -45,3 +45,15 @@ def test_drop_keeps_whole_rows(edge, empty):
 def test_no_python_in_plan(edge):
     plan = exact.exact_duplicates(edge)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_release(spark, edge):
+    from ascenta.llm import common
+
+    kept = common.materialize(edge.select("doc_id"), "held")
+    assert kept.count() == edge.count() and common.made()
+    path = common.made()[-1]
+    common.release(spark)
+    assert not common.made()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
