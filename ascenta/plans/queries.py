@@ -240,7 +240,8 @@ _RESAMPLE_SQL = f"""step AS (
   FROM spot JOIN run a ON a.id = spot.id AND a.seq = spot.seq AND a.i = spot.j JOIN run b ON b.id = spot.id AND b.seq = spot.seq AND b.i = spot.j + 1
 )"""
 _SAMPLES_SQL = f"WITH {NETWORK_SQL}, {VERTEX_SQL}, {_RESAMPLE_SQL}"
-_DEM = "CASE WHEN (px * 7 + py * 3) % 97 = 5 THEN -9999.0 WHEN (px + py) % 89 = 1 THEN 0.0 ELSE 400.0 + 0.125 * ((px + 0.5) * 2.0 + 470000.0) + 0.0625 * ((py + 0.5) * 2.0 + 1104000.0) END"
+# Pixels are negative and % keeps the sign in both dialects, so remainders are made positive.
+_DEM = "CASE WHEN ((px * 7 + py * 3) % 97 + 97) % 97 = 5 THEN -9999.0 WHEN ((px + py) % 89 + 89) % 89 = 1 THEN 0.0 ELSE 400.0 + 0.125 * ((px + 0.5) * 2.0 + 470000.0) + 0.0625 * ((py + 0.5) * 2.0 + 1104000.0) END"
 _DEM_SQL = _DEM.replace("-9999.0", "-9999.0::DOUBLE").replace("0.0 ELSE 400.0", "0.0::DOUBLE ELSE 400.0::DOUBLE").replace("0.125 *", "0.125::DOUBLE *").replace("0.0625 *", "0.0625::DOUBLE *").replace("0.5)", "0.5::DOUBLE)")
 _BILINEAR_SQL = f"""corner AS (
   SELECT id, seq, k, d, floor(x / 2 - 0.5) AS fx, floor(y / 2 - 0.5) AS fy, x / 2 - 0.5::DOUBLE AS gx, y / 2 - 0.5::DOUBLE AS gy FROM sample
