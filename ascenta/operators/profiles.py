@@ -29,16 +29,21 @@ def resample(x: Column, y: Column, step: float) -> Column:
         total = F.element_at(cum, -1)
         parts = F.greatest(F.lit(1), F.ceil(total / step).cast("int"))
 
-        def sample(i: Column) -> Column:
+        def spot(i: Column) -> Column:
             d = F.when(i == parts, total).otherwise(total * i / parts)
             # The last vertex at or before d, but for the line's end.
             k = F.least(F.greatest(F.size(F.filter(cum, lambda c: c <= d)) - 1, F.lit(0)), n - 2)
+            return F.struct(d.alias("d"), k.alias("k"))
+
+        def sample(p: Column) -> Column:
+            d, k = p["d"], p["k"]
             lo, hi = F.get(cum, k), F.get(cum, k + 1)
             t = F.when(hi > lo, (d - lo) / (hi - lo)).otherwise(F.lit(0.0))
             between = lambda a: F.get(a, k) + (F.get(a, k + 1) - F.get(a, k)) * t
             return F.struct(d.alias("d"), between(x).alias("x"), between(y).alias("y"))
 
-        return F.transform(F.sequence(F.lit(0), parts), sample)
+        # Two steps, so that the search for k runs once a sample.
+        return F.transform(F.transform(F.sequence(F.lit(0), parts), spot), sample)
 
     return F.get(F.transform(F.array(run), of), F.lit(0))
 

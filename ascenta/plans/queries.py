@@ -17,7 +17,7 @@ from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL,
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-TILE_PX, HALO_M, STEP_M = 64, 8.0, 500.0
+TILE_PX, HALO_M, STEP_M = 64, 8.0, 10.0
 _TAGS_SQL = f"WITH tags AS (SELECT o_orderkey AS id, {', '.join(f'{v} AS {k}' for k, v in TAGS.items())} FROM orders)"
 
 
@@ -255,7 +255,8 @@ _BILINEAR_SQL = f"""corner AS (
 
 
 def _samples(spark, sf_dir):
-    lines = _lines(spark, sf_dir).withColumn("s", profiles.resample(F.col("x"), F.col("y"), STEP_M))
+    # A line of a few hundred bytes becomes hundreds of samples, so lines are dealt by count, not by bytes.
+    lines = _lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism * 4).withColumn("s", profiles.resample(F.col("x"), F.col("y"), STEP_M))
     return lines.select("id", "seq", "structure", F.posexplode("s").alias("k", "p")).select("id", "seq", "structure", "k", "p.d", "p.x", "p.y")
 
 

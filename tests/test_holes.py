@@ -61,3 +61,10 @@ def test_holes_are_read_as_null(spark, lines):
     assert got.keys() == want.keys()
     assert {k for k, v in got.items() if v is None} == {k for k, v in want.items() if math.isnan(v)} != set()
     assert all(abs(v - want[k]) < 0.002 for k, v in got.items() if v is not None)
+
+
+def test_samples_are_at_most_ten_metres_apart(spark, lines):
+    want = {(r.id, r.seq, k): v for r, d, *_ in lines for k, v in enumerate(d)}
+    got = {(r.id, r.seq, r.k): r.d for r in queries.QUERIES["resample"](spark, DATA).collect()}
+    assert got.keys() == want.keys() and all(abs(v - want[k]) < 0.001 for k, v in got.items())
+    assert max(v - got[a, b, k - 1] for (a, b, k), v in got.items() if k) <= 10.001
