@@ -78,6 +78,20 @@ def _tokenizer(path: str):
     return per_process(("tokenizer", path), make)
 
 
+def _plain(path: str):
+    """The tokenizer as its file sets it, and a search for its added tokens' strings in a text's bytes; strings that only normalising makes equal match too."""
+
+    def make():
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(path)
+        added = [re.escape(a.content.encode()) for a in own.get_added_tokens_decoder().values()]
+        return own, re.compile(b"|".join(added), re.I).search if added else lambda text: None
+
+    return per_process(("plain", path), make)
+
+
 #: Marks that end a chunk without touching the letters before them; the apostrophe is not among them.
 _ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Chunks of letters alone that no normalisation joins, parts or turns into marks.
@@ -235,6 +249,24 @@ class _TokenTable:
         return ids, np.diff(marks)
 
 
+def _encode(table: _TokenTable, path: str, texts: list[bytes]):
+    """All ids of the texts, and how many each has; those with an added token's string go through the library whole."""
+    import numpy as np
+
+    own, holds = _plain(path)
+    whole = [i for i, t in enumerate(texts) if holds(t)]
+    if not whole:
+        return table.encode(texts)
+    rest = list(texts)
+    for i in whole:
+        rest[i] = b""
+    ids, counts = table.encode(rest)
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    for i in whole:
+        parts[i] = np.array(own.encode(texts[i].decode(), add_special_tokens=False).ids, ids.dtype)
+    return np.concatenate(parts), np.array([len(p) for p in parts], counts.dtype)
+
+
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of id and token_ids, packed little-endian 16-bit where the vocabulary allows, else 32-bit.
 
@@ -253,7 +285,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
         total = np.zeros(size, np.int64)
         table = per_process(("tokens", tokenizer_path), lambda: _TokenTable(tokenizer_path))
         for batch in batches:
-            ids, counts = table.encode(texts_of(batch.column(1)))
+            ids, counts = _encode(table, tokenizer_path, texts_of(batch.column(1)))
             ends = np.cumsum(counts)
             with_end = np.insert(ids, ends, end_id).astype(wide)
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * wide.itemsize
