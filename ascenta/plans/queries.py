@@ -471,11 +471,11 @@ def unique_anchor(spark, sf_dir):
     return anchors.unique_anchors(_identified(spark, sf_dir)).select("climb_id", "run_id", _ids("way_refs").alias("way_refs"), "start_node_id", "end_node_id", "collapsed", "collisions")
 
 
-@query(f"""WITH {_IDENTITY_SQL}, o AS (SELECT DISTINCT way_refs, s, t FROM k WHERE run_id % 2 = 0), w AS (SELECT DISTINCT way_refs, s, t FROM k WHERE run_id % 3 > 0)
+@query(f"""WITH {_IDENTITY_SQL}, o AS (SELECT DISTINCT way_refs, s, t FROM k WHERE run_id % 2 = 0), w AS (SELECT DISTINCT way_refs, s, t FROM k WHERE run_id % 2 = 1 OR run_id % 3 > 0)
 SELECT (SELECT count(*) FROM (SELECT * FROM o INTERSECT SELECT * FROM w)) AS kept, (SELECT count(*) FROM (SELECT * FROM w EXCEPT SELECT * FROM o)) AS new, (SELECT count(*) FROM (SELECT * FROM o EXCEPT SELECT * FROM w)) AS lost""")
 def anchor_compare(spark, sf_dir):
     own = _identified(spark, sf_dir)
-    return anchors.compare(own.where("run_id % 2 = 0"), own.where("run_id % 3 > 0"))
+    return anchors.compare(own.where("run_id % 2 = 0"), own.where("run_id % 2 = 1 OR run_id % 3 > 0"))
 
 
 @query(f"WITH {_IDENTITY_SQL} SELECT least(n, 10)::INT AS size, count(*) AS climbs, max(n)::INT AS longest, (SELECT count(*) FROM (SELECT t FROM anchor GROUP BY t HAVING count(*) > 1)) AS multi_climb_summits FROM anchor GROUP BY least(n, 10)")
