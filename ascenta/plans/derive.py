@@ -1,4 +1,4 @@
-"""The derivation end to end: ways to candidates, profiles, runs, climbs and anchors."""
+"""The derivation from ways and finished profiles: candidates, runs, climbs and anchors."""
 
 from __future__ import annotations
 

@@ -680,7 +680,7 @@ def digest_chain(spark, sf_dir):
 
 @query()
 def derive_anchors(spark, sf_dir):
-    """The whole derivation on the virtual network, up to numbered anchors."""
+    """The derivation on the virtual network from given profiles, not sampled ones, up to numbered anchors."""
     own = _candidates(spark, sf_dir).checkpoint()
     # Heights a tenth as steep and lengths ten times as far give grades that roads have.
     distance = F.transform("nodes", lambda n, i: (i * 1500).cast("double"))
