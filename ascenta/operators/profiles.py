@@ -102,6 +102,19 @@ def profile_ends(profiles: DataFrame) -> DataFrame:
     return profiles.select("candidate_id", F.element_at(z, 1).cast("double").alias("foot"), F.element_at(z, -1).cast("double").alias("top"), (F.element_at("distance_m", -1) - F.element_at("distance_m", 1)).alias("length"))
 
 
+def with_ends(profiles: DataFrame, candidates: DataFrame) -> DataFrame:
+    """:func:`profile_ends` with start and end nodes; a profile whose candidate is unknown raises."""
+    nodes = candidates.select("candidate_id", "start_node_id", "end_node_id", F.lit(True).alias("__known"))
+    joined = profile_ends(profiles).join(nodes, "candidate_id", "left")
+    known = F.assert_true(F.col("__known"), F.concat(F.lit("no candidate "), F.col("candidate_id").cast("string"), F.lit(" of a profile")))
+    return joined.where(known.isNull()).drop("__known")
+
+
+def without_profile(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Candidates that have no profile: those that sampling dropped."""
+    return candidates.join(profiles.select("candidate_id"), "candidate_id", "left_anti")
+
+
 def join_profiles(runs: DataFrame, profiles: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     """Samples (run_id, i, k, distance_m, elevation_m) of whole runs (run_id, candidate_ids).
 

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from ..operators import anchors, detect, network, profiles, runs
 from ..operators.arrays import numbered
+from ..storage import materialize
 
 
 def candidates_of(ways: DataFrame) -> DataFrame:
-    """Directed candidates of ways (id, nodes, tags); degenerate pieces go."""
-    pieces = network.reasons(network.junction_segments(network.ridden(ways)))
-    return network.both_ways(pieces.where("reason IS NULL").drop("reason"))
+    """Directed candidates of ways (id, nodes, tags); degenerate pieces go. Ridden ways and pieces are written once."""
+    pieces = network.reasons(network.junction_segments(materialize(network.ridden(ways), "ways")))
+    return network.both_ways(materialize(pieces.where("reason IS NULL").drop("reason"), "pieces"))
 
 
 def climbs_of(candidates: DataFrame, profiled: DataFrame, walk: runs.Walk = runs.Walk(), override: Mapping[str, float] | None = None) -> DataFrame:  # noqa: B008
     """Scored climbs (with their run's candidate_ids) of candidates and their profiles (candidate_id, distance_m, elevation_m)."""
-    ends = profiles.profile_ends(profiled).join(candidates.select("candidate_id", "start_node_id", "end_node_id"), "candidate_id")
-    chains = runs.ascending_runs(ends, walk).withColumn("__head", F.element_at("candidate_ids", 1))
-    held = numbered(chains, "run_id", "__head", "candidate_ids").drop("__head").checkpoint()
+    ends = materialize(profiles.with_ends(profiled, candidates), "ends")
+    chains = materialize(runs.ascending_runs(ends, walk).withColumn("__head", F.element_at("candidate_ids", 1)), "chains")
+    held = materialize(numbered(chains, "run_id", "__head", "candidate_ids").drop("__head"), "runs")
     samples = profiles.join_profiles(held, profiled, candidates.select("candidate_id", "start_node_id", "end_node_id"))
     return detect.scored(detect.detect_climbs(samples, override)).join(held, "run_id")
 

@@ -11,6 +11,7 @@ from ..functions import grid
 from ..functions.geo import line_length, within
 from ..functions.tags import is_cyclable, structure_of
 from ..operators import anchors, arrays, detect, network, profiles, runs, tiles, warehouse
+from ..storage import materialize
 from . import derive
 from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL, Z_SQL, height, place, table, tagged, ways
 
@@ -37,9 +38,13 @@ def _ids(nodes: str | Column) -> Column:
     return F.array_join(F.transform(nodes, lambda n: n.cast("string")), ",")
 
 
+def _pieces_of_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of ridden ways; these are read three times, so they are written once."""
+    return network.junction_segments(materialize(network.ridden(ways(spark, sf_dir)), "ways"))
+
+
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = network.junction_segments(network.ridden(ways(spark, sf_dir)))
-    return network.reasons(pieces).where("reason IS NULL").drop("reason")
+    return network.reasons(_pieces_of_ways(spark, sf_dir)).where("reason IS NULL").drop("reason")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.candidates_of(ways(spark, sf_dir))
+    return network.both_ways(materialize(_kept(spark, sf_dir), "pieces"))
 
 
 def _profiles(candidates: DataFrame) -> DataFrame:
@@ -59,11 +64,11 @@ def _profiles(candidates: DataFrame) -> DataFrame:
 
 
 def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = _candidates(spark, sf_dir)
+    own = materialize(_candidates(spark, sf_dir), "candidates")
     return profiles.profile_ends(_profiles(own)).join(own.select("candidate_id", "start_node_id", "end_node_id"), "candidate_id")
 
 
-_ENDS_SQL = f"""e AS (
+_ENDS_SQL = f"""e AS MATERIALIZED (
   SELECT candidate_id, nodes[1] AS s, nodes[-1] AS t, (len(nodes) - 1) * 10.0::DOUBLE AS length,
          {Z_SQL.replace("node ", "nodes[1] ")} AS foot, {Z_SQL.replace("node ", "nodes[-1] ")} AS top
   FROM cand
@@ -90,7 +95,7 @@ def node_degree(spark, sf_dir):
 
 @query(f"WITH {NETWORK_SQL} SELECT id, seq::INT AS seq, structure, array_to_string(nodes, ',') AS nodes FROM seg")
 def junction_segments(spark, sf_dir):
-    return network.junction_segments(network.ridden(ways(spark, sf_dir))).select("id", "seq", "structure", _ids("nodes").alias("nodes"))
+    return _pieces_of_ways(spark, sf_dir).select("id", "seq", "structure", _ids("nodes").alias("nodes"))
 
 
 @query(f"WITH {NETWORK_SQL} SELECT candidate_id, id, seq::INT AS seq, direction, structure, nodes[1] AS start_node_id, nodes[-1] AS end_node_id, len(nodes)::INT AS n_points, array_to_string(nodes, ',') AS nodes FROM cand")
@@ -109,7 +114,7 @@ SELECT (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderke
        count(*) FILTER (WHERE NOT bad AND structure = 'covered') AS segments_covered
 FROM j""")
 def extract_counts(spark, sf_dir):
-    own = ways(spark, sf_dir)
+    own = materialize(ways(spark, sf_dir), "ways")
     return network.extract_counts(own, network.reasons(network.junction_segments(network.ridden(own))))
 
 
@@ -308,7 +313,7 @@ def profile_ends(spark, sf_dir):
 
 def _way_runs(spark, sf_dir):
     """One run for each way: its forward candidates in order, where each starts at the end of the one before."""
-    own = _candidates(spark, sf_dir)
+    own = materialize(_candidates(spark, sf_dir), "candidates")
     whole = own.where("direction = 'forward'").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("seq", "candidate_id", "start_node_id", "end_node_id"))).alias("s"))
     meets = F.forall(arrays.indices(F.size("s") - 1), lambda i: F.get("s", i)["end_node_id"] == F.get("s", i + 1)["start_node_id"])
     return own, whole.where(meets).select(F.col("id").alias("run_id"), F.col("s.candidate_id").alias("candidate_ids"))
@@ -339,7 +344,7 @@ def clip_profile(spark, sf_dir):
 
 # --- walk and detection --------------------------------------------------
 
-_EDGES_SQL = "edges AS (SELECT a.candidate_id AS a, b.candidate_id AS b FROM e a JOIN e b ON a.t = b.s AND b.top > a.top WHERE a.top > a.foot AND b.top > b.foot)"
+_EDGES_SQL = "edges AS MATERIALIZED (SELECT a.candidate_id AS a, b.candidate_id AS b FROM e a JOIN e b ON a.t = b.s AND b.top > a.top WHERE a.top > a.foot AND b.top > b.foot)"
 
 
 @query(f"WITH {NETWORK_SQL}, {_ENDS_SQL}, {_EDGES_SQL} SELECT a, b FROM edges")
@@ -347,25 +352,84 @@ def rising_edges(spark, sf_dir):
     return runs.rising_edges(_ends(spark, sf_dir))
 
 
-@query(f"""WITH RECURSIVE {NETWORK_SQL}, {_ENDS_SQL}, {_EDGES_SQL}, reach AS (
+#: Gain telescopes on the virtual network, whose heights belong to nodes: the best chain into a candidate begins at the lowest foot that reaches it.
+_SWEEP_SQL = f"""WITH RECURSIVE {NETWORK_SQL}, {_ENDS_SQL}, {_EDGES_SQL}, reach AS (
   SELECT candidate_id, foot AS base FROM e WHERE top > foot
   UNION SELECT edges.b, reach.base FROM reach JOIN edges ON edges.a = reach.candidate_id
-) SELECT candidate_id, max(top - base) AS best_in FROM reach JOIN e USING (candidate_id) GROUP BY candidate_id""")
+), ahead AS (
+  SELECT candidate_id, top AS peak FROM e WHERE top > foot
+  UNION SELECT edges.a, ahead.peak FROM ahead JOIN edges ON edges.b = ahead.candidate_id
+), swept AS (
+  SELECT e.candidate_id, foot, top, length, i.best_in, o.best_out FROM e
+  JOIN (SELECT candidate_id, max(top - base) AS best_in FROM reach JOIN e USING (candidate_id) GROUP BY candidate_id) i USING (candidate_id)
+  JOIN (SELECT candidate_id, max(peak - foot) AS best_out FROM ahead JOIN e USING (candidate_id) GROUP BY candidate_id) o USING (candidate_id)
+)"""
+
+
+@query(f"{_SWEEP_SQL} SELECT candidate_id, best_in FROM swept")
 def dag_best_in(spark, sf_dir):
-    ends = _ends(spark, sf_dir).checkpoint()
-    return runs.best_in(ends, runs.rising_edges(ends))
+    return runs.sweeps(_ends(spark, sf_dir)).select("candidate_id", "best_in")
+
+
+@query(f"{_SWEEP_SQL} SELECT candidate_id, best_out, best_in + best_out - (top - foot) AS through FROM swept")
+def dag_best_out(spark, sf_dir):
+    ends = _ends(spark, sf_dir)
+    gain = ends.select("candidate_id", (F.col("top") - F.col("foot")).alias("gain"))
+    return runs.sweeps(ends).join(gain, "candidate_id").select("candidate_id", "best_out", (F.col("best_in") + F.col("best_out") - F.col("gain")).alias("through"))
+
+
+#: Short enough that runs on the virtual network, whose candidates are 10 m a node, are cut.
+_MAX_RUN_M = 30.0
+#: The cover, one candidate after the other, of those with an edge; all others are runs of their own.
+_COVER_SQL = f"""{_SWEEP_SQL}, back AS (
+  SELECT b AS k, arg_min(a, (-best_in, a)) AS p FROM edges JOIN swept ON candidate_id = a GROUP BY b
+), onward AS MATERIALIZED (
+  SELECT a AS k, arg_min(b, (-best_out, b)) AS c FROM edges JOIN swept ON candidate_id = b GROUP BY a
+), linked AS MATERIALIZED (
+  SELECT * FROM swept WHERE candidate_id IN (SELECT a FROM edges UNION SELECT b FROM edges)
+), head AS (
+  SELECT candidate_id AS k, candidate_id AS pos, [candidate_id] AS ids, [length] AS ms FROM linked
+  UNION ALL SELECT head.k, p, list_prepend(p, ids), list_prepend(e.length, ms) FROM head JOIN back ON back.k = pos JOIN e ON e.candidate_id = p
+), tail AS (
+  SELECT candidate_id AS k, candidate_id AS pos, []::BIGINT[] AS ids, []::DOUBLE[] AS ms FROM linked
+  UNION ALL SELECT tail.k, c, list_append(ids, c), list_append(ms, e.length) FROM tail JOIN onward ON onward.k = pos JOIN e ON e.candidate_id = c
+), whole AS (
+  SELECT h.k, h.ids || t.ids AS ids, h.ms || t.ms AS ms, len(h.ids) AS mine
+  FROM (SELECT k, arg_max(ids, len(ids)) AS ids, arg_max(ms, len(ms)) AS ms FROM head GROUP BY k) h
+  JOIN (SELECT k, arg_max(ids, len(ids)) AS ids, arg_max(ms, len(ms)) AS ms FROM tail GROUP BY k) t USING (k)
+), front AS (
+  SELECT *, least(mine, coalesce(list_min(list_filter(range(1, len(ms) + 1), lambda i: list_sum(ms[i:]) <= {_MAX_RUN_M})), mine)) AS f FROM whole
+), shortened AS (
+  SELECT k, ids[f:greatest(mine, coalesce(list_max(list_filter(range(f, len(ms) + 1), lambda j: list_sum(ms[f:j]) <= {_MAX_RUN_M})), mine))] AS ids FROM front
+), turn AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY best_in + best_out - (top - foot) DESC, candidate_id) AS n, candidate_id AS k, ids FROM linked JOIN shortened ON k = candidate_id
+), taken AS (
+  SELECT 0::BIGINT AS n, []::BIGINT[] AS covered, NULL::BIGINT[] AS ids
+  UNION ALL SELECT turn.n, CASE WHEN list_contains(covered, k) THEN covered ELSE covered || turn.ids END, CASE WHEN list_contains(covered, k) THEN NULL ELSE turn.ids END
+  FROM taken JOIN turn ON turn.n = taken.n + 1
+), run AS (
+  SELECT DISTINCT ids FROM taken WHERE ids IS NOT NULL
+  UNION ALL SELECT [candidate_id] FROM swept WHERE candidate_id NOT IN (SELECT candidate_id FROM linked)
+)"""
 
 
-@query()
+def _runs(spark, sf_dir):
+    ends = materialize(_ends(spark, sf_dir), "ends")
+    return ends, runs.ascending_runs(ends, runs.Walk(max_run_m=_MAX_RUN_M))
+
+
+@query(f"{_COVER_SQL} SELECT array_to_string(ids, ',') AS candidate_ids, len(ids)::INT AS n FROM run")
 def ascending_runs(spark, sf_dir):
-    ends = _ends(spark, sf_dir).checkpoint()
-    return runs.ascending_runs(ends).select(_ids("candidate_ids").alias("candidate_ids"), F.size("candidate_ids").alias("n"))
+    return _runs(spark, sf_dir)[1].select(_ids("candidate_ids").alias("candidate_ids"), F.size("candidate_ids").alias("n"))
 
 
-@query(f"WITH {NETWORK_SQL}, {_ENDS_SQL} SELECT count(*) AS rising, count(*) AS covered, 100.0::DOUBLE AS coverage_pct FROM e WHERE top > foot")
+@query(f"""{_COVER_SQL}, step AS (SELECT ids, unnest(ids) AS candidate_id FROM run), metre AS (SELECT ids, sum(length) AS m FROM step JOIN e USING (candidate_id) GROUP BY ids)
+SELECT (SELECT count(*) FROM run) AS runs, (SELECT count(*) FROM step) AS candidate_instances, (SELECT max(m) FROM metre) AS longest_run_m,
+       (SELECT len(arg_min(ids, (-m, ids))) FROM metre) AS longest_run_candidates, count(*) AS rising, count(*) FILTER (WHERE candidate_id IN (SELECT candidate_id FROM step)) AS covered,
+       round(100.0::DOUBLE * count(*) FILTER (WHERE candidate_id IN (SELECT candidate_id FROM step)) / count(*), 3) AS coverage_pct FROM swept""")
 def run_coverage(spark, sf_dir):
-    ends = _ends(spark, sf_dir).checkpoint()
-    return runs.run_metrics(runs.ascending_runs(ends), ends).select("rising", "covered", "coverage_pct")
+    ends, found = _runs(spark, sf_dir)
+    return runs.run_metrics(found, ends)
 
 
 @query()

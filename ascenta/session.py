@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from .storage import shared_dir
+
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with a checkpoint folder: the one it is configured with, else, as in tests, a temporary one."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="ascenta-"))
+    """The session with a checkpoint folder: the one it is configured with, else, on a local master, a temporary one."""
+    folder = shared_dir(spark)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(folder)
     return spark
