@@ -90,6 +90,14 @@ def unique_anchors(climbs: DataFrame) -> DataFrame:
     return numbered(first, "climb_id", "run_id", "climb_index")
 
 
+def accounts(detections: DataFrame, anchors: DataFrame) -> DataFrame:
+    """One row: detections, climbs, and how many were collapsed (as suffixes) or collided; the last three sum to the first, or it raises."""
+    made = anchors.agg(F.count("*").alias("climbs"), F.coalesce(F.sum(F.col("collapsed") - F.col("collisions")), F.lit(0)).alias("collapsed"), F.coalesce(F.sum("collisions"), F.lit(0)).alias("collisions"))
+    both = detections.agg(F.count("*").alias("detections")).join(F.broadcast(made))  # one row each
+    told = F.concat_ws(" ", F.lit("accounts differ:"), "detections", "climbs", "collapsed", "collisions")
+    return both.where(F.assert_true(F.col("detections") == F.col("climbs") + F.col("collapsed") + F.col("collisions"), told).isNull())
+
+
 def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row: how many identities two derivations share, and how many only the new or the old one has."""
     key = ["way_refs", "start_node_id", "end_node_id"]
@@ -107,8 +115,9 @@ def category_histogram(climbs: DataFrame) -> DataFrame:
 
 
 def anchor_counts(anchors: DataFrame) -> DataFrame:
-    """Anchors by number of way refs, ten or more as 10, with the longest and the summits that several share."""
-    sizes = anchors.groupBy(F.least(F.size("way_refs"), F.lit(10)).alias("size")).agg(F.count("*").alias("climbs"), F.max(F.size("way_refs")).alias("longest"))
+    """Anchors by number of way refs, ten or more as 10, with the longest, those over several candidates, and the summits that several share."""
+    several = F.count_if(F.size("candidate_ids") > 1).alias("multi_candidate")
+    sizes = anchors.groupBy(F.least(F.size("way_refs"), F.lit(10)).alias("size")).agg(F.count("*").alias("climbs"), F.max(F.size("way_refs")).alias("longest"), several)
     shared = anchors.groupBy("end_node_id").count().where("count > 1").agg(F.count("*").alias("multi_climb_summits"))
     return sizes.join(F.broadcast(shared))  # one row
 

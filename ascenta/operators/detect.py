@@ -8,48 +8,73 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Grades in per cent, distances in metres.
+# The settings that an override may name, and their defaults (grades in per cent, distances in metres).
 CONFIG: dict[str, float] = {
-    "STEP_M": 10.0,
-    "SMOOTH_WINDOW_M": 50.0,
-    "CLIMB_START_GRADE_PCT": 3.75,
     "CLIMB_CONTINUE_GRADE_PCT": 3.5,
     "CLIMB_END_FLAT_M": 700.0,
-    "DESCENT_END_GRADE_PCT": -1.0,
+    "CLIMB_LEADIN_GRADE_PCT": 2.5,
+    "CLIMB_LEADIN_MAX_DISTANCE_M": 500.0,
+    "CLIMB_START_GRADE_PCT": 3.75,
     "DESCENT_END_DISTANCE_M": 150.0,
+    "DESCENT_END_GRADE_PCT": -1.0,
+    "INTERPOLATE_MAX_GAP_M": 25.0,
+    "MAX_SUSTAINED_GRADIENT_WINDOW_M": 200.0,
+    "MERGE_COHERENT_ASCENT_RATIO": 0.85,
+    "MERGE_DESCENT_GAP_MAX_M": 760.0,
+    "MERGE_DESCENT_SCALE": 4.0,
+    "MERGE_GAP_GAIN_SCALE": 5.5,
+    "MERGE_GAP_MAX_BONUS_M": 4000.0,
     "MERGE_MAX_GAP_M": 1200.0,
     "MERGE_MAX_VALLEY_DROP_M": 20.0,
     "MERGE_VALLEY_RATIO": 0.2,
-    "TRIM_START_GRADE_PCT": 2.5,
+    "RESAMPLE_MIN_INTERVAL_M": 12.0,
+    "SMOOTH_GRAD_WINDOW_M": 200.0,
+    "SMOOTH_MID_GRADE_THRESHOLD": 0.03,
+    "SMOOTH_STEEP_GRADE_THRESHOLD": 0.08,
+    "SMOOTH_WINDOW_MAX_M": 250.0,
+    "SMOOTH_WINDOW_MID_M": 150.0,
+    "SMOOTH_WINDOW_MIN_M": 50.0,
+    "SNAP_LOOKAHEAD_MAX_M": 300.0,
+    "SPIKE_GRADIENT_THRESHOLD": 0.12,
+    "SPIKE_MAX_SEGMENT_M": 24.0,
+    "SPIKE_NEIGHBOR_THRESHOLD": 0.08,
     "TRIM_END_GRADE_PCT": 2.5,
-    "MAX_SUSTAINED_GRADIENT_WINDOW_M": 200.0,
-    "MIN_GAIN_M": 10.0,
-    "MIN_LENGTH_M": 200.0,
+    "TRIM_START_GRADE_PCT": 2.5,
+    "TRIM_STEEP_RATIO": 0.2,
+    "TRIM_TAIL_WINDOW_M": 200.0,
 }
+#: Settings that our own detector has no use for; they are checked and recorded with the rest.
+RECORDED_ONLY = frozenset(
+    "INTERPOLATE_MAX_GAP_M MERGE_COHERENT_ASCENT_RATIO MERGE_DESCENT_GAP_MAX_M MERGE_DESCENT_SCALE MERGE_GAP_GAIN_SCALE MERGE_GAP_MAX_BONUS_M "
+    "SMOOTH_GRAD_WINDOW_M SMOOTH_MID_GRADE_THRESHOLD SMOOTH_STEEP_GRADE_THRESHOLD SMOOTH_WINDOW_MAX_M SMOOTH_WINDOW_MID_M SNAP_LOOKAHEAD_MAX_M "
+    "SPIKE_GRADIENT_THRESHOLD SPIKE_MAX_SEGMENT_M SPIKE_NEIGHBOR_THRESHOLD TRIM_STEEP_RATIO TRIM_TAIL_WINDOW_M".split()
+)
 #: Settings that may be overridden only together with another.
-PAIRS = {"TRIM_END_GRADE_PCT": "TRIM_START_GRADE_PCT", "MERGE_VALLEY_RATIO": "MERGE_MAX_VALLEY_DROP_M"}
+PAIRS = {"RESAMPLE_MIN_INTERVAL_M": "SPIKE_MAX_SEGMENT_M", "CLIMB_LEADIN_GRADE_PCT": "TRIM_START_GRADE_PCT"}
+#: Climbs of less gain or length are none.
+MIN_GAIN_M, MIN_LENGTH_M = 10.0, 200.0
+MODELS = ("aso", "garmin", "hiking")
 #: Least score of each category, ours but for the last.
 ASO = (("HC", 600.0), ("1", 400.0), ("2", 250.0), ("3", 150.0), ("4", 60.0), ("uncategorized", 8.0))
 
 
 def configured(override: Mapping[str, float] | None = None) -> dict[str, float]:
-    """The settings with *override*; unknown keys, values that are no finite numbers and halves of a pair raise."""
+    """The settings with *override*; unknown keys, values that are no finite numbers and halves of a pair raise, all at once."""
     override = dict(override or {})
-    for key, value in override.items():
-        if key not in CONFIG:
-            raise ValueError(f"unknown setting {key}")
-        if isinstance(value, bool) or not isinstance(value, (int, float)) or not math.isfinite(value):
-            raise ValueError(f"{key} must be a finite number")
-        if key in PAIRS and PAIRS[key] not in override:
-            raise ValueError(f"{key} needs {PAIRS[key]}")
+    numeric = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool) and math.isfinite(v)
+    faults = [f"unknown setting {k}" for k in override if k not in CONFIG]
+    faults += [f"{k} must be a finite number" for k, v in override.items() if k in CONFIG and not numeric(v)]
+    faults += [f"{k} needs {other}" for k, other in PAIRS.items() if k in override and other not in override]
+    if faults:
+        raise ValueError("; ".join(faults))
     return CONFIG | override
 
 
 def find_climbs(distance, elevation, config: Mapping[str, float]) -> list[tuple[float, float, float, float, float]]:
     """Climbs of a profile: start_m, end_m, gain, avg_grade and max_grade (per cent).
 
-    The profile is read every STEP_M and its grade taken over a window. A climb
-    opens where the grade reaches the start grade and ends after a long descent or
+    The profile is read at equal distances of at most RESAMPLE_MIN_INTERVAL_M and its grade taken over a window. A climb
+    opens where the grade reaches the start grade, with what leads in to it, and ends after a long descent or
     flat, at its highest point; then its ends are trimmed and neighbours over shallow valleys merged.
     """
     import numpy as np
@@ -57,10 +82,10 @@ def find_climbs(distance, elevation, config: Mapping[str, float]) -> list[tuple[
     distance, elevation = np.asarray(distance, float), np.asarray(elevation, float)
     if len(distance) < 2 or distance[-1] <= distance[0]:
         return []
-    n = max(1, math.ceil((distance[-1] - distance[0]) / config["STEP_M"]))
+    n = max(1, math.ceil((distance[-1] - distance[0]) / config["RESAMPLE_MIN_INTERVAL_M"]))
     d = np.linspace(distance[0], distance[-1], n + 1)
     e = np.interp(d, distance, elevation)
-    half = config["SMOOTH_WINDOW_M"] / 2
+    half = config["SMOOTH_WINDOW_MIN_M"] / 2
     a, b = np.maximum(d - half, d[0]), np.minimum(d + half, d[-1])
     grade = 100 * (np.interp(b, d, e) - np.interp(a, d, e)) / (b - a)
     step = d[1] - d[0]
@@ -71,6 +96,8 @@ def find_climbs(distance, elevation, config: Mapping[str, float]) -> list[tuple[
             i += 1
             continue
         start = high = j = i
+        while start > (spans[-1][1] if spans else 0) and grade[start - 1] >= config["CLIMB_LEADIN_GRADE_PCT"] and d[i] - d[start - 1] <= config["CLIMB_LEADIN_MAX_DISTANCE_M"]:
+            start -= 1
         flat = down = 0.0
         while j < n:
             j += 1
@@ -99,7 +126,7 @@ def find_climbs(distance, elevation, config: Mapping[str, float]) -> list[tuple[
     out = []
     for s, t in merged:
         gain, length = e[t] - e[s], d[t] - d[s]
-        if gain >= config["MIN_GAIN_M"] and length >= config["MIN_LENGTH_M"]:
+        if gain >= MIN_GAIN_M and length >= MIN_LENGTH_M:
             window = min(config["MAX_SUSTAINED_GRADIENT_WINDOW_M"], length)
             heads = d[s : t + 1][d[s : t + 1] + window <= d[t] + 1e-9]
             steep = (np.interp(heads + window, d, e) - np.interp(heads, d, e)).max() / window
@@ -145,7 +172,9 @@ def aso_category(difficulty: Column) -> Column:
 
 def scored(climbs: DataFrame, model: str = "aso") -> DataFrame:
     """Climbs with difficulty and category; both null where no threshold is cleared, and the climb stays."""
-    if model != "aso":
+    if model not in MODELS:
         raise ValueError(f"unknown scoring model {model}")
+    if model != "aso":
+        raise NotImplementedError(f"the formula of scoring model {model} was never published")
     with_score = climbs.withColumn("difficulty", aso_score(F.col("dist_m"), F.col("avg_grade")))
     return with_score.withColumn("category", aso_category(F.col("difficulty")))

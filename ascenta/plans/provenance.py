@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Mapping
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import bytes_at, publish_bytes
+
 _FIELD = r"^([a-z_]+):\s+(.*?)\s*$"
 
 
@@ -64,48 +64,69 @@ def broken_links(expected: DataFrame, actual: DataFrame, keys: list[str]) -> Dat
     return expected.join(actual.select(*keys, F.col("sha256").alias("expected")), [*keys, "expected"], "left_anti")
 
 
-def absolute_paths(record, at: str = "") -> list[str]:
-    """Dotted keys of a manifest whose values are absolute paths."""
-    if isinstance(record, Mapping):
-        return [p for k, v in record.items() for p in absolute_paths(v, f"{at}.{k}" if at else str(k))]
-    if isinstance(record, (list, tuple)):
-        return [p for i, v in enumerate(record) for p in absolute_paths(v, f"{at}.{i}")]
-    return [at] if isinstance(record, str) and (record.startswith(("/", "file:/")) or re.match(r"[A-Za-z]:[\\/]", record)) else []
+def leaves(value, *keys: str):
+    """(dotted key, value) of everything in a manifest that is neither an object nor a list, in order."""
+    inner = value.items() if isinstance(value, Mapping) else enumerate(value) if isinstance(value, (list, tuple)) else None
+    if inner is None:
+        yield ".".join(keys), value
+        return
+    for key, item in inner:
+        yield from leaves(item, *keys, str(key))
 
 
-def write_atomically(path: str | Path, data: bytes) -> None:
-    """Bytes at *path*, all or nothing."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    held = path.with_name(f"{path.name}.{os.getpid()}.tmp")
-    try:
-        held.write_bytes(data)
-        os.replace(held, path)
-    finally:
-        held.unlink(missing_ok=True)
+#: Strings that only mean something on one machine.
+_ON_THIS_MACHINE = re.compile(r"/|file:/|[A-Za-z]:[\\/]")
 
 
-def write_record(path: str | Path, manifest: Mapping) -> None:
-    """A manifest without what differs between runs; absolute paths are refused by their keys."""
-    record = {k: v for k, v in manifest.items() if k != "run"}
-    if paths := absolute_paths(record):
-        raise StageError("record", f"absolute paths at {', '.join(paths)}")
-    write_atomically(path, (json.dumps(record, indent=2, sort_keys=True) + "\n").encode())
+def publish_record(spark: SparkSession, path: str, manifest: Mapping) -> None:
+    """A manifest as sorted JSON, without ``run``, which differs each time; strings that are absolute paths are refused, all by their keys."""
+    lasting = {k: v for k, v in manifest.items() if k != "run"}
+    local = [key for key, value in leaves(lasting) if isinstance(value, str) and _ON_THIS_MACHINE.match(value)]
+    if local:
+        raise StageError("record", f"absolute paths at {', '.join(local)}")
+    publish_bytes(spark, path, json.dumps(lasting, indent=2, sort_keys=True).encode() + b"\n")
 
 
-def read_record(path: str | Path) -> dict:
-    """A manifest; one that can't be read proves nothing and is empty."""
+def record_at(spark: SparkSession, path: str) -> dict:
+    """A manifest; one that is missing, no JSON or no object proves nothing and is empty."""
     try:
-        found = json.loads(Path(path).read_text())
-    except (OSError, ValueError):
-        return {}
-    return found if isinstance(found, dict) else {}
+        held = json.loads(bytes_at(spark, path) or b"")
+    except ValueError:
+        held = None
+    return held if isinstance(held, dict) else {}
+
+
+def may_skip(spark: SparkSession, output: str, manifest: str, wanted: Mapping, force: bool = False) -> bool:
+    """Whether a stage has nothing to do: not forced, its manifest agrees with all that is *wanted*, and its output is there."""
+    held = record_at(spark, manifest)
+    if force or not held or any(key not in held or held[key] != value for key, value in wanted.items()):
+        return False
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(output)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+#: What each stage's signature is made of, by dotted key of its manifest.
+SIGNED = {
+    "candidates": ("osm_snapshot.sha256", "boundary.relation_id", "boundary.relation_version", "boundary.buffer_m", "way_filter.version", "way_filter.structure"),
+    "dem": ("candidates.sha256", "dem.product", "dem.crs", "dem.resolution_m", "grid.tile_px"),
+    "profiles": ("candidates.sha256", "dem.sha256", "sampling.step_m", "sampling.transform"),
+    "climbs": ("profiles.sha256", "derivation.engine_commit", "derivation.scoring_model", "derivation.engine_config_override", "walk.max_run_m", "walk.dip_drop_m", "walk.dip_gap_m", "walk.dip_ratio"),
+    "anchors": ("climbs.sha256", "candidates.sha256"),
+}
 
 
-def already_done(output: str | Path, manifest: str | Path, wanted: Mapping, force: bool = False) -> bool:
-    """Whether a stage may be skipped: its output is there and its manifest has every field of the signature."""
-    held = read_record(manifest)
-    return not force and Path(output).exists() and bool(held) and all(k in held and held[k] == v for k, v in wanted.items())
+def stage_signature_of(stage: str, manifest: Mapping) -> str:
+    """The signature of a stage from the fields that it is signed by; all that are missing are named."""
+    held = dict(leaves(manifest))
+    for key in SIGNED[stage]:  # an object, such as an override, is signed whole
+        value = manifest
+        for step in key.split("."):
+            value = value.get(step) if isinstance(value, Mapping) else None
+        if isinstance(value, (Mapping, list)):
+            held[key] = value
+    if lacking := [key for key in SIGNED[stage] if key not in held]:
+        raise StageError(stage, f"the manifest has no {', '.join(lacking)}")
+    return signature_of({key: held[key] for key in SIGNED[stage]})
 
 
 def fetch_plan(tiles: int, bytes_each: int, rate: int = 3_000_000) -> dict[str, float]:

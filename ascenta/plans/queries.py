@@ -525,9 +525,9 @@ def _identified(spark, sf_dir):
     return own.withColumns({"start_node_id": F.col("run_id") % 7, "end_node_id": F.col("run_id") % 11, "collapsed": (F.col("run_id") % 3).cast("int")})
 
 
-_IDENTITY_SQL = f"""{_CHAINS_SQL}, k AS (SELECT run_id, gain, {_COLLAPSED_SQL} AS way_refs, run_id % 7 AS s, run_id % 11 AS t, run_id % 3 AS collapsed FROM c),
+_IDENTITY_SQL = f"""{_CHAINS_SQL}, k AS (SELECT run_id, gain, len(candidate_ids) AS steps, {_COLLAPSED_SQL} AS way_refs, run_id % 7 AS s, run_id % 11 AS t, run_id % 3 AS collapsed FROM c),
 u AS (SELECT *, row_number() OVER (PARTITION BY way_refs, s, t ORDER BY gain DESC, run_id) AS place, sum(collapsed) OVER (PARTITION BY way_refs, s, t) AS every, count(*) OVER (PARTITION BY way_refs, s, t) - 1 AS collisions FROM k),
-anchor AS (SELECT row_number() OVER (ORDER BY run_id) - 1 AS climb_id, run_id, array_to_string(way_refs, ',') AS way_refs, len(way_refs) AS n, s, t, (every + collisions)::INT AS collapsed, collisions::INT AS collisions FROM u WHERE place = 1)"""
+anchor AS (SELECT row_number() OVER (ORDER BY run_id) - 1 AS climb_id, run_id, array_to_string(way_refs, ',') AS way_refs, len(way_refs) AS n, s, t, (every + collisions)::INT AS collapsed, collisions::INT AS collisions, steps FROM u WHERE place = 1)"""
 
 
 @query(f"WITH {_IDENTITY_SQL} SELECT climb_id, run_id, way_refs, s AS start_node_id, t AS end_node_id, collapsed, collisions FROM anchor")
@@ -542,11 +542,20 @@ def anchor_compare(spark, sf_dir):
     return anchors.compare(own.where("run_id % 2 = 0"), own.where("run_id % 2 = 1 OR run_id % 3 > 0"))
 
 
-@query(f"WITH {_IDENTITY_SQL} SELECT least(n, 10)::INT AS size, count(*) AS climbs, max(n)::INT AS longest, (SELECT count(*) FROM (SELECT t FROM anchor GROUP BY t HAVING count(*) > 1)) AS multi_climb_summits FROM anchor GROUP BY least(n, 10)")
+@query(f"WITH {_IDENTITY_SQL} SELECT least(n, 10)::INT AS size, count(*) AS climbs, max(n)::INT AS longest, count(*) FILTER (WHERE steps > 1) AS multi_candidate, (SELECT count(*) FROM (SELECT t FROM anchor GROUP BY t HAVING count(*) > 1)) AS multi_climb_summits FROM anchor GROUP BY least(n, 10)")
 def anchor_counts(spark, sf_dir):
     return anchors.anchor_counts(anchors.unique_anchors(_identified(spark, sf_dir)))
 
 
+@query(f"""WITH {_SUFFIX_SQL}, lasting AS (SELECT kept.run_id, kept.collapsed, c.gain, {_COLLAPSED_SQL} AS way_refs FROM kept JOIN c USING (run_id)),
+same AS (SELECT way_refs, run_id % 7 AS s, run_id % 11 AS t, sum(collapsed) AS collapsed, count(*) - 1 AS collisions FROM lasting GROUP BY ALL)
+SELECT (SELECT count(*) FROM c) AS detections, count(*) AS climbs, sum(collapsed)::BIGINT AS collapsed, sum(collisions)::BIGINT AS collisions FROM same""")
+def anchor_accounts(spark, sf_dir):
+    own = materialize(_chains(spark, sf_dir), "chains")
+    lasting = anchors.drop_suffixes(own).withColumns({"way_refs": arrays.collapse_repeats(F.col("way_refs")), "start_node_id": F.col("run_id") % 7, "end_node_id": F.col("run_id") % 11})
+    return anchors.accounts(own, anchors.unique_anchors(materialize(lasting, "lasting")))
+
+
 @query(f"WITH {_IDENTITY_SQL} SELECT t AS end_node_id, count(*) AS approaches FROM anchor GROUP BY t HAVING count(*) > 1")
 def approach_variants(spark, sf_dir):
     return warehouse.approaches(anchors.unique_anchors(_identified(spark, sf_dir)))

@@ -11,10 +11,12 @@ import zlib
 from collections.abc import Iterator
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.geo import covers
+
 SCHEMAS = {
     "nodes": "id long, lon double, lat double",
     "ways": "id long, nodes array<long>, tags map<string,string>",
@@ -79,9 +81,19 @@ def _running(data: bytes) -> list[int]:
     return out
 
 
+def _open(path: str):
+    """The file for reading: a local path, or a URI of a store that Arrow reads, as executors have no JVM at hand."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
 def blobs(path: str) -> Iterator[tuple[int, int, str]]:
     """Offset, size and type of each blob; only the headers are read."""
-    with open(path, "rb") as f:
+    with _open(path) as f:
         while head := f.read(4):
             header = _message(f.read(struct.unpack(">I", head)[0]))
             size = header[3][0]
@@ -90,7 +102,7 @@ def blobs(path: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _blob(path: str, offset: int, size: int) -> bytes:
-    with open(path, "rb") as f:
+    with _open(path) as f:
         f.seek(offset)
         blob = _message(f.read(size))
     return blob[1][0] if 1 in blob else zlib.decompress(blob[3][0])
@@ -211,26 +223,49 @@ def stitch(ways: list[list]) -> list[list]:
     return rings
 
 
+def _within(ring: list, point) -> bool:
+    """Whether the ring of (lon, lat) holds the point, by the crossings of a ray."""
+    x, y = point
+    return sum((b[1] > y) != (a[1] > y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in zip(ring, ring[1:], strict=False)) % 2 == 1
+
+
+_RING = "array<struct<lon:double,lat:double>>"
+
+
 def boundaries(relations: DataFrame, ways: DataFrame, nodes: DataFrame, ids: list[int]) -> DataFrame:
-    """Outer rings (relation_id, version, ring) of the relations *ids*, assembled from their outer ways.
+    """Areas (relation_id, version, ring, holes) of the relations *ids*: an outer ring each, with the inner rings that lie in it.
 
-    A relation that is absent or does not close raises.
+    A relation that is absent or does not close raises; so does one whose ways or nodes are missing.
     """
     wanted = relations.where(F.col("id").isin(ids))
     missing = set(ids) - {r.id for r in wanted.select("id").collect()}  # as many as were asked for
     if missing:
         raise ValueError(f"relations not in the extract: {sorted(missing)}")
-    parts = wanted.select(F.col("id").alias("relation_id"), "version", F.explode("members").alias("m")).where("m.type = 'way' AND m.role IN ('outer', '')")
-    lines = parts.select("relation_id", "version", F.col("m.ref").alias("id")).join(ways.select("id", "nodes"), "id")
-    points = lines.select("relation_id", "version", F.col("id").alias("way"), F.posexplode("nodes").alias("i", "id")).join(nodes, "id")
-    kind = "relation_id long, version int, ring array<struct<lon:double,lat:double>>"
+    parts = wanted.select(F.col("id").alias("relation_id"), "version", F.explode("members").alias("m")).where("m.type = 'way' AND m.role IN ('outer', 'inner', '')")
+    lines = parts.select("relation_id", "version", (F.col("m.role") == "inner").alias("hole"), F.col("m.ref").alias("id")).join(ways.select("id", "nodes"), "id", "left")
+    points = lines.select("relation_id", "version", "hole", F.col("id").alias("way"), F.posexplode_outer("nodes").alias("i", "id")).join(nodes, "id", "left")
 
     def assemble(pdf):
         import pandas as pd
 
+        if pdf["lon"].isna().any():
+            raise ValueError(f"relation {pdf['relation_id'].iloc[0]} has ways or nodes that are not in the extract")
         at = {n: (lon, lat) for n, lon, lat in zip(pdf["id"], pdf["lon"], pdf["lat"], strict=True)}
-        rings = stitch([g.sort_values("i")["id"].tolist() for _, g in pdf.groupby("way")])
-        rows = [(pdf["relation_id"].iloc[0], pdf["version"].iloc[0], [{"lon": at[n][0], "lat": at[n][1]} for n in r]) for r in rings]
-        return pd.DataFrame(rows, columns=["relation_id", "version", "ring"])
+        rings = {hole: [[at[n] for n in r] for r in stitch([g.sort_values("i")["id"].tolist() for _, g in part.groupby("way")])] for hole, part in pdf.groupby("hole")}
+        points = lambda ring: [{"lon": x, "lat": y} for x, y in ring]
+        rows = [(pdf["relation_id"].iloc[0], pdf["version"].iloc[0], points(r), [points(h) for h in rings.get(True, []) if _within(r, h[0])]) for r in rings.get(False, [])]
+        return pd.DataFrame(rows, columns=["relation_id", "version", "ring", "holes"])
+
+    return points.groupBy("relation_id").applyInPandas(assemble, f"relation_id long, version int, ring {_RING}, holes array<{_RING}>")
+
+
+def region_areas(relations: DataFrame, ways: DataFrame, nodes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Areas of *regions* (code, osm_relation_id), in order of code; all of them must be in the extract."""
+    codes = regions.select("code", F.col("osm_relation_id").alias("relation_id"))
+    ids = [r.relation_id for r in codes.select("relation_id").distinct().collect()]  # a table of a country's regions
+    return boundaries(relations, ways, nodes, ids).join(codes, "relation_id").select("code", "relation_id", "version", "ring", "holes").orderBy("code")
+
 
-    return points.groupBy("relation_id").applyInPandas(assemble, kind)
+def inside(ring: Column, holes: Column, lon: Column, lat: Column) -> Column:
+    """Whether an area holds a point: within or on its ring and not within a hole."""
+    return covers(ring, lon, lat) & ~F.exists(F.coalesce(holes, F.array().cast(f"array<{_RING}>")), lambda h: covers(h, lon, lat))

@@ -43,6 +43,38 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def publish_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Bytes at *path* on any store Hadoop knows: written beside it, then moved over it in one step, so readers see the old or the new."""
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs
+    target = files.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    store = target.getFileSystem(conf)
+    target = store.makeQualified(target)
+    beside = target.suffix(f".{uuid.uuid4().hex}.new")
+    out = store.create(beside, True)  # makes the folders as well
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    over = spark.sparkContext._gateway.new_array(files.Options.Rename, 1)
+    over[0] = files.Options.Rename.OVERWRITE
+    files.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, over)
+
+
+def bytes_at(spark: SparkSession, path: str) -> bytes | None:
+    """What *path* holds; None if there is no such file."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(target) or store.getFileStatus(target).isDirectory():
+        return None
+    stream = store.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def release(spark: SparkSession) -> None:
     """Delete all that this process has written to the shared folder; results that read it can't be read afterwards."""
     while _MADE:

@@ -1,3 +1,8 @@
+"""From an extract to candidates, on a random street grid of our own."""
+
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,74 +13,123 @@ from ascenta.sources import osm_pbf
 
 from . import pbf
 
-NODES = {
-    1: (18.01, 49.81), 2: (18.02, 49.81), 3: (18.03, 49.81), 4: (18.04, 49.81), 5: (18.03, 49.8), 6: (18.03, 49.82), 7: (18.01, 49.83), 8: (18.02, 49.83), 9: (18.01, 49.84), 10: (18.02, 49.84),
-    11: (18.01, 49.85), 12: (18.02, 49.85), 13: (18.01, 49.86), 14: (18.02, 49.86), 15: (18.01, 49.87), 16: (18.02, 49.87), 17: (18.05, 49.88), 18: (18.06, 49.88), 19: (18.07, 49.885), 20: (18.07, 49.875),
-    21: (18.02, 49.815), 22: (18.02, 49.805), 30: (19.0, 49.81), 31: (19.01, 49.81), 40: (18.08, 49.81), 41: (18.09, 49.81), 42: (18.08, 49.82), 43: (18.09, 49.82), 44: (18.08, 49.83), 45: (18.09, 49.83),
-    46: (18.08, 49.84), 47: (18.09, 49.84), 90: (18.0, 49.8), 91: (18.1, 49.8), 92: (18.1, 49.9), 93: (18.0, 49.9),
-}
-R = {"highway": "residential"}
-WAYS = {
-    201: ([1, 2, 3, 4], R), 202: ([5, 3, 6], {"highway": "unclassified"}), 203: ([7, 8], {"highway": "path"}), 204: ([9, 10], {"highway": "track", "tracktype": "grade4"}),
-    205: ([11, 12], {"highway": "track", "tracktype": "grade1"}), 206: ([13, 14], R | {"access": "private"}), 207: ([15, 16], R | {"access": "private", "bicycle": "designated"}),
-    208: ([17, 18, 19, 20, 18], R), 209: ([30, 31], R), 210: ([21, 2, 22], {"highway": "path"}), 211: ([40, 41], R | {"bridge": "viaduct"}), 212: ([42, 43], R | {"tunnel": "yes"}),
-    213: ([44, 45], R | {"covered": "yes"}), 214: ([46, 47], R | {"bridge": "no"}), 250: ([90, 91, 92, 93, 90], {}),
-}
-SEGMENTS = {201: [[1, 2, 3], [3, 4]], 202: [[5, 3], [3, 6]], 205: [[11, 12]], 207: [[15, 16]], 208: [[17, 18], [18, 19, 20, 18]], 209: [[30, 31]], 211: [[40, 41]], 212: [[42, 43]], 213: [[44, 45]], 214: [[46, 47]]}
+SIDE = 6
+STREET = {"highway": "tertiary"}
+
+
+def grid():
+    """Nodes on a grid, and ways that walk along it at random, cross, close and touch themselves."""
+    r = random.Random(11)
+    nodes = {7_000 + y * SIDE + x: (14.2 + x / 500, 50.05 + y / 700) for y in range(SIDE) for x in range(SIDE)}
+    ways = {}
+    for k in range(14):
+        x, y = r.randrange(SIDE), r.randrange(SIDE)
+        line = [(x, y)]
+        for _ in range(r.randint(1, 7)):
+            dx, dy = r.choice([(1, 0), (-1, 0), (0, 1), (0, -1)])
+            line.append((min(max(line[-1][0] + dx, 0), SIDE - 1), min(max(line[-1][1] + dy, 0), SIDE - 1)))
+        kept = [p for i, p in enumerate(line) if i == 0 or p != line[i - 1]]
+        ways[900 + 7 * k] = ([7_000 + b * SIDE + a for a, b in kept], STREET | ({"bridge": "movable"} if k % 5 == 1 else {}) | ({"covered": "yes"} if k % 5 == 2 else {}))
+    ways[850] = ([7_000, 7_001], {"highway": "bridleway"})  # not ridden: its ends make no junction
+    ways[851] = ([7_002], STREET)
+    ways[852] = ([7_003, 7_004, 7_003], STREET)
+    return nodes, ways
+
+
+NODES, WAYS = grid()
+
+
+def pieces():
+    """Cuts of ridden ways by counting node occurrences, said plainly."""
+    ridden = {i: n for i, (n, t) in WAYS.items() if t["highway"] == "tertiary" and len(n) > 1}
+    seen = Counter(n for line in ridden.values() for n in line)
+    out = {}
+    for i, line in ridden.items():
+        at = [k for k, n in enumerate(line) if k in (0, len(line) - 1) or seen[n] > 1]
+        out[i] = [line[a : b + 1] for a, b in zip(at, at[1:], strict=False)]
+    return out
+
+
+RING = [(14.19, 50.04), (14.25, 50.04), (14.25, 50.10), (14.19, 50.10)]
+HOLE = [(14.2035, 50.0505), (14.2065, 50.0505), (14.2065, 50.0535), (14.2035, 50.0535)]
 
 
 @pytest.fixture(scope="module")
 def extract(spark, tmp_path_factory):
-    path = tmp_path_factory.mktemp("osm") / "junctions.osm.pbf"
-    header = {16: "tests", 32: 1788294050, 33: 4897, 34: "https://example.invalid/updates"}
-    pbf.write(path, NODES, WAYS, {300: (42, [("way", 250, "outer")], {"type": "boundary"})}, header)
+    path = tmp_path_factory.mktemp("osm") / "grid.osm.pbf"
+    corners = {1 + k: p for k, p in enumerate(RING + HOLE)}
+    lines = {10: ([1, 2, 3], {}), 11: ([1, 4, 3], {}), 12: ([5, 6, 7, 8, 5], {})}
+    area = (3, [("way", 10, "outer"), ("way", 11, "outer"), ("way", 12, "inner"), ("node", 1, "label")], {"type": "boundary"})
+    pbf.write(path, NODES | corners, WAYS | lines, {77: area}, {16: "grid writer", 32: 86_400, 33: 12})
     return str(path)
 
 
 def test_source(spark, extract):
-    assert osm_pbf.read_header(extract) == {"replication_ts": "2026-09-01T20:20:50Z", "replication_seq": 4897, "replication_base_url": "https://example.invalid/updates", "writing_program": "tests"}
+    assert osm_pbf.read_header(extract) == {"replication_ts": "1970-01-02T00:00:00Z", "replication_seq": 12, "replication_base_url": None, "writing_program": "grid writer"}
     nodes = {r.id: (r.lon, r.lat) for r in osm_pbf.read_osm(spark, extract, "nodes").collect()}
-    assert set(nodes) == set(NODES) and all(nodes[i] == pytest.approx(NODES[i]) for i in NODES)
+    assert all(nodes[i] == pytest.approx(p) for i, p in NODES.items())
     ways = {r.id: (r.nodes, r.tags) for r in osm_pbf.read_osm(spark, extract, "ways").collect()}
-    assert ways == WAYS
+    assert {i: ways[i] for i in WAYS} == WAYS
     relation = osm_pbf.read_osm(spark, extract, "relations").first()
-    assert (relation.id, relation.version, tuple(relation.members[0])) == (300, 42, ("way", 250, "outer"))
+    assert (relation.id, relation.version, len(relation.members), tuple(relation.members[2])) == (77, 3, 4, ("way", 12, "inner"))
 
 
-def test_boundary(spark, extract):
+def test_boundary_with_a_hole(spark, extract):
     nodes, ways, relations = (osm_pbf.read_osm(spark, extract, k) for k in ("nodes", "ways", "relations"))
-    ring = osm_pbf.boundaries(relations, ways, nodes, [300]).first().ring
-    assert len(ring) == 5 and ring[0] == ring[-1]
-    with pytest.raises(ValueError, match="301"):
-        osm_pbf.boundaries(relations, ways, nodes, [301])
-    assert osm_pbf.stitch([[1, 2], [3, 2], [3, 1]])[0][0] in (1, 2, 3)
+    area = osm_pbf.boundaries(relations, ways, nodes, [77])
+    found = area.collect()
+    assert len(found) == 1 and len(found[0].ring) == 5 and [len(h) for h in found[0].holes] == [5]
+    points = spark.createDataFrame([(1, 14.22, 50.06), (2, 14.205, 50.052), (3, 15.0, 50.06)], "p int, lon double, lat double")
+    inside = points.crossJoin(area).select("p", osm_pbf.inside(F.col("ring"), F.col("holes"), F.col("lon"), F.col("lat")).alias("in"))
+    assert {r.p: r["in"] for r in inside.collect()} == {1: True, 2: False, 3: False}
+    with pytest.raises(ValueError, match="78"):
+        osm_pbf.boundaries(relations, ways, nodes, [77, 78])
+    assert sorted(map(len, osm_pbf.stitch([["a", "b"], ["c", "b"], ["c", "a"], ["x", "y", "x"]]))) == [3, 4]
     with pytest.raises(ValueError, match="close"):
-        osm_pbf.stitch([[1, 2], [2, 3]])
+        osm_pbf.stitch([["a", "b"], ["b", "c"]])
 
 
-def test_segments_and_candidates(spark, extract):
-    ways = osm_pbf.read_osm(spark, extract, "ways")
-    pieces = network.junction_segments(network.ridden(ways))
+def test_cuts(spark, extract):
+    ways = osm_pbf.read_osm(spark, extract, "ways").where("id >= 800")
     found = {}
-    for r in sorted(pieces.collect(), key=lambda r: (r.id, r.seq)):
+    for r in network.junction_segments(network.ridden(ways)).orderBy("id", "seq").collect():
         found.setdefault(r.id, []).append(r.nodes)
-    assert found == SEGMENTS
-    rows = {(r.id, r.seq, r.direction): r for r in candidates_of(ways).collect()}
-    assert [r.candidate_id for r in sorted(rows.values(), key=lambda r: (r.id, r.seq, r.direction != "forward"))] == list(range(26))
-    for (way, seq, direction), r in rows.items():
-        mirror = rows[way, seq, "reverse" if direction == "forward" else "forward"]
-        assert r.nodes == mirror.nodes[::-1] and (r.start_node_id, r.end_node_id) == (mirror.end_node_id, mirror.start_node_id) and r.structure == mirror.structure and r.n_points == len(r.nodes)
+    assert found == pieces()
+
+
+def test_candidates(spark, extract):
+    ways = osm_pbf.read_osm(spark, extract, "ways").where("id >= 800")
+    rows = candidates_of(ways).orderBy("candidate_id").collect()
+    kept = [(i, s, line) for i, cut in sorted(pieces().items()) for s, line in enumerate(cut) if len(set(line)) > 1]
+    both = [(i, s, d, line[::step]) for i, s, line in kept for d, step in (("forward", 1), ("reverse", -1))]
+    assert [(r.id, r.seq, r.direction, r.nodes) for r in rows] == both and [r.candidate_id for r in rows] == list(range(len(both)))
+    for r in rows:
+        assert (r.start_node_id, r.end_node_id, r.n_points) == (r.nodes[0], r.nodes[-1], len(r.nodes))
+        tags = WAYS[r.id][1]
+        assert r.structure == ("bridge" if "bridge" in tags else "covered" if "covered" in tags else None)
 
 
 def test_counts_and_places(spark, extract):
     from ascenta.functions.geo import covers
 
     ways, nodes = (osm_pbf.read_osm(spark, extract, k) for k in ("ways", "nodes"))
-    lines = network.located(network.junction_segments(network.ridden(ways)), nodes.where("id <> 16"))
-    ring = F.expr("array(named_struct('lon', 18.0, 'lat', 49.8), named_struct('lon', 18.1, 'lat', 49.8), named_struct('lon', 18.1, 'lat', 49.9), named_struct('lon', 18.0, 'lat', 49.9), named_struct('lon', 18.0, 'lat', 49.8))")
+    ways = ways.where("id >= 800")
+    gone = max(n for cut in pieces().values() for line in cut for n in line)
+    lines = network.located(network.junction_segments(network.ridden(ways)), nodes.where(F.col("id") != gone))
+    west, north = 14.2045, 50.0545
+    ring = F.array(*(F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in ((14.0, 50.0), (west, 50.0), (west, north), (14.0, north), (14.0, 50.0))))
     outside = ~F.exists(F.arrays_zip("lon", "lat"), lambda p: covers(ring, p["lon"], p["lat"]))
     c = network.extract_counts(ways, network.reasons(lines, outside)).first()
-    assert (c.segments, c.segments_missing, c.segments_outside, c.segments_bridge, c.segments_tunnel, c.segments_covered, c.ways_cyclable) == (11, 1, 1, 1, 1, 1, 10)
+    want = Counter()
+    for i, cut in pieces().items():
+        for line in cut:
+            reason = "degenerate" if len(set(line)) < 2 else "missing" if gone in line else None if any(NODES[n][0] <= west and NODES[n][1] <= north for n in line) else "outside"
+            want[reason] += 1
+            want["bridge"] += reason is None and "bridge" in WAYS[i][1]
+            want["covered"] += reason is None and "covered" in WAYS[i][1]
+    assert (c.segments, c.segments_degenerate, c.segments_missing, c.segments_outside) == tuple(want[k] for k in (None, "degenerate", "missing", "outside"))
+    assert (c.segments_bridge, c.segments_covered, c.segments_tunnel) == (want["bridge"], want["covered"], 0) and min(want[None], want["missing"], want["outside"]) > 0
+    assert (c.ways_seen, c.ways_cyclable, c.candidates) == (len(WAYS), len(WAYS) - 1, 2 * want[None])
 
 
 def test_numbers(spark):

@@ -50,18 +50,31 @@ def test_resolution(spark):
     assert [tuple(r) for r in warehouse.resolve(climbs, asked).collect()] == [(5, 1)]
 
 
-def test_records(tmp_path):
-    path = tmp_path / "a" / "m.json"
-    provenance.write_record(path, {"counts": {"n": 1}, "run": {"wall_clock_s": 3}})
-    assert json.loads(path.read_text()) == {"counts": {"n": 1}}
-    with pytest.raises(SystemExit, match=r"record: absolute paths at inputs\.pbf, list\.0"):
-        provenance.write_record(path, {"inputs": {"pbf": "/data/x.pbf"}, "list": ["/y"]})
-    out = tmp_path / "out"
-    assert not provenance.already_done(out, path, {"counts": {"n": 1}})
-    out.write_text("x")
-    assert provenance.already_done(out, path, {"counts": {"n": 1}}) and not provenance.already_done(out, path, {"counts": {"n": 2}}) and not provenance.already_done(out, path, {}, force=True)
-    path.write_text("{")
-    assert provenance.read_record(path) == {} and not provenance.already_done(out, path, {})
+def test_records(spark, tmp_path):
+    at, out = f"file://{tmp_path}/deep/er/stage.json", f"file://{tmp_path}/table"
+    provenance.publish_record(spark, at, {"n": [1, {"x": None}], "run": {"host": "/here"}})
+    assert json.loads((tmp_path / "deep/er/stage.json").read_text()) == {"n": [1, {"x": None}]}
+    provenance.publish_record(spark, at, {"counts": 5})
+    assert provenance.record_at(spark, at) == {"counts": 5} and len(list((tmp_path / "deep/er").glob("stage*"))) == 1
+    with pytest.raises(SystemExit, match=r"record: absolute paths at from\.0\.pbf, to, win$"):
+        provenance.publish_record(spark, at, {"from": [{"pbf": "file:/a"}, "b/c"], "to": "/d", "win": "C:\\e", "url": "https://x/y"})
+    assert provenance.record_at(spark, at) == {"counts": 5}
+    assert not provenance.may_skip(spark, out, at, {"counts": 5})
+    spark.range(1).write.parquet(out)
+    assert provenance.may_skip(spark, out, at, {"counts": 5}) and provenance.may_skip(spark, out, at, {})
+    assert not any((provenance.may_skip(spark, out, at, {"counts": 6}), provenance.may_skip(spark, out, at, {"other": None}), provenance.may_skip(spark, out, at, {}, force=True)))
+    for torn in (b"{", b"[1]", b""):
+        provenance.publish_bytes(spark, at, torn)
+        assert provenance.record_at(spark, at) == {} and not provenance.may_skip(spark, out, at, {})
+    assert provenance.record_at(spark, f"file://{tmp_path}/none") == {}
+
+
+def test_stage_signatures():
+    manifest = {"climbs": {"sha256": "c"}, "candidates": {"sha256": "d"}, "counts": {"n": 3}}
+    one = provenance.stage_signature_of("anchors", manifest)
+    assert one == provenance.stage_signature_of("anchors", manifest | {"counts": {"n": 4}}) != provenance.stage_signature_of("anchors", manifest | {"climbs": {"sha256": "x"}})
+    with pytest.raises(SystemExit, match=r"profiles: the manifest has no dem\.sha256, sampling\.step_m"):
+        provenance.stage_signature_of("profiles", {"candidates": {"sha256": "d"}, "sampling": {"transform": "t"}})
 
 
 def test_fields(spark):
@@ -134,28 +147,26 @@ def test_derivation_row():
 def test_migrations(tmp_path):
     from ascenta.plans import migrate
 
-    def pair(name, up="select 1; select 2", down="select 3"):
-        (tmp_path / f"{name}.up.sql").write_text(up)
-        (tmp_path / f"{name}.down.sql").write_text(down)
-
-    pair("0001_a", "-- note; not a statement\nselect 1; select 2")
-    pair("0002_b")
-    ran, applied = [], set()
+    scripts = {f"{n:04d}_{w}.{side}.sql": f"-- {w}\n{side} {w} one;\n{side} {w} two;" for n, w in enumerate(("roads", "climbs", "names"), 1) for side in ("up", "down")}
+    for name, text in scripts.items():
+        (tmp_path / name).write_text(text)
     changes = migrate.discover(tmp_path)
-    assert migrate.up(ran.append, applied, changes, to=1) == [1] and ran == ["select 1", "select 2"]
-    assert migrate.up(ran.append, applied, changes) == [2] and migrate.up(ran.append, applied, changes) == []
-    assert migrate.down(ran.append, applied, changes, to=1) == [2] and applied == {1}
-    pair("0004_d")
-    with pytest.raises(SystemExit, match="0003"):
-        migrate.discover(tmp_path)
-    pair("0003_c")
-    (tmp_path / "0003_c.down.sql").unlink()
-    with pytest.raises(SystemExit, match="no 0003_c.down.sql"):
-        migrate.discover(tmp_path)
-    pair("0003_c")
-    pair("0003_e")
-    with pytest.raises(SystemExit, match="two changes"):
-        migrate.discover(tmp_path)
+    assert [(c.number, c.name) for c in changes] == [(1, "roads"), (2, "climbs"), (3, "names")]
+    ran, applied = [], set()
+    assert migrate.up(ran.append, applied, changes, to=2) == [1, 2] and ran == ["up roads one", "up roads two", "up climbs one", "up climbs two"]
+    assert migrate.up(ran.append, applied, changes) == [3] and migrate.up(ran.append, applied, changes) == []
+    del ran[:]
+    assert migrate.down(ran.append, applied, changes, to=1) == [3, 2] and ran[0] == "down names one" and applied == {1}
+    without = lambda *gone: {k: v for k, v in scripts.items() if k not in gone}
+    for bad, what in (
+        (without("0002_climbs.up.sql", "0002_climbs.down.sql"), "0002 is missing"),
+        (without("0003_names.down.sql"), "0003_names has no down.sql"),
+        (scripts | {"0003_more.up.sql": "", "0003_more.down.sql": ""}, "2 changes are numbered 0003"),
+        (scripts | {"4_x.up.sql": ""} | {"readme.sql": ""}, "4_x.up.sql is no .*; readme.sql is no "),
+    ):
+        with pytest.raises(SystemExit, match=what):
+            migrate.changes_in(bad)
+    assert migrate.changes_in({}) == []
 
 
 def test_tables(spark, tmp_path):
@@ -167,9 +178,33 @@ def test_tables(spark, tmp_path):
     pq.write_table(pa.table({"candidate_id": pa.array([1, 2], pa.uint64()), "ids": pa.array([[1], [2, 3]], pa.list_(pa.uint64()))}), tmp_path / "a.parquet")
     df = tables.read_table(spark, f"file://{tmp_path}/a.parquet")
     assert dict(df.dtypes) == {"candidate_id": "bigint", "ids": "array<bigint>"}
-    for _ in range(2):
-        tables.write_table(df, f"file://{tmp_path}/out")
-    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 2
+    out = f"file://{tmp_path}/out"
+    tables.write_table(df.limit(1), out)
+    old = tables.read_table(spark, out)
+    tables.write_table(df, out)
+    assert old.count() == 1 and tables.read_table(spark, out).count() == tables.rows_in(spark, out) == 2 and tables.columns_of(spark, out) == ["candidate_id", "ids"]
     with pytest.raises(Exception, match="torn"):
-        tables.write_table(df.withColumn("x", F.raise_error(F.lit("torn")).cast("string")), f"file://{tmp_path}/out")
-    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 2
+        tables.write_table(df.withColumn("x", F.raise_error(F.lit("torn")).cast("string")), out)
+    assert tables.read_table(spark, out).count() == 2
+    tables.forget_old(spark, out)
+    assert tables.read_table(spark, out).count() == 2 and len(list((tmp_path / "out").glob("v-*"))) == 1
+
+
+def test_row_groups_and_geo_metadata(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from ascenta.functions.geo import from_wkb, with_wkb
+    from ascenta.sources import tables
+
+    out = f"file://{tmp_path}/plain"
+    tables.write_table(spark.range(120_000).coalesce(1), out)
+    meta = pq.ParquetFile(next((tmp_path / "plain").glob("v-*/*.parquet"))).metadata
+    assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 50_000
+    lines = with_wkb(spark.createDataFrame([(1, [14.0, 14.5], [50.0, 50.5]), (2, [15.0, 15.5], [49.0, 49.5])], "id long, lon array<double>, lat array<double>").repartition(2))
+    geo = f"file://{tmp_path}/geo"
+    tables.write_geo(lines, geo)
+    (tmp_path / "geo" / next((tmp_path / "geo").glob("v-*")).name / "part-left.parquet").write_bytes(b"left by a lost task")
+    rows = {r.id: from_wkb(bytes(r.geometry)) for r in tables.read_table(spark, geo).collect()}
+    assert rows == {1: [(14.0, 50.0), (14.5, 50.5)], 2: [(15.0, 49.0), (15.5, 49.5)]}
+    held = json.loads(pq.ParquetFile(next(p for p in (tmp_path / "geo").glob("v-*/part-*") if "left" not in p.name)).metadata.metadata[b"geo"])
+    assert held["primary_column"] == "geometry" and held["columns"]["geometry"]["encoding"] == "WKB"
