@@ -36,13 +36,13 @@ def test_ramps(spark):
 def test_a_climb_has_what_its_profile_says():
     r = random.Random(2)
     for _ in range(60):
-        e = np.cumsum([0.0, *(r.choice([-0.6, -0.2, 0, 0.1, 0.5, 0.9]) for _ in range(40)) ]).repeat(1)
+        e = np.cumsum([0.0, *(r.choice([-0.6, -0.2, 0, 0.1, 0.5, 0.9]) for _ in range(40))])
         d, e = np.arange(0, 4001, 100.0), 200 + 8 * e
         found = detect.find_climbs(d, e, detect.CONFIG)
         at = lambda m: float(np.interp(m, d, e))
         for start, end, gain, avg, steep in found:
             assert 0 <= start < end <= 4000 and gain >= detect.MIN_GAIN_M and end - start >= detect.MIN_LENGTH_M
-            assert gain == pytest.approx(at(end) - at(start)) and avg == pytest.approx(100 * gain / (end - start)) and steep >= avg - 1e-9
+            assert gain == pytest.approx(at(end) - at(start)) and avg == pytest.approx(100 * gain / (end - start)) and steep <= np.diff(e).max() + 1e-9
         assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
     assert detect.find_climbs([0.0], [1.0], detect.CONFIG) == [] == detect.find_climbs([], [], detect.CONFIG) == detect.find_climbs([5.0, 5.0], [1.0, 9.0], detect.CONFIG)
 
