@@ -3,87 +3,64 @@
 from __future__ import annotations
 
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The ASCII white space of the contracts, as a Java/RE2 character class body.
 BLANKS = "\\x20\\x09-\\x0D"
-#: Texts in one Arrow batch may hold this many bytes before a kernel emits.
-BATCH_BYTES = 8 << 20
+#: Rows, and about the bytes, that a kernel is given at once.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset, as in tests on one machine, a temporary folder is made
-    and set as the checkpoint folder of this context.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="ascenta-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    made().append(path)
-    return path
-
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """*body* of *value*, which is evaluated once however often *body* uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-def made() -> list[str]:
-    """The paths this process has made in the shared folder."""
-    return per_process(("made",), list)
 
+def whole_text(column: str = "text") -> Column:
+    """The text, with null counting as empty."""
+    return F.coalesce(F.col(column), F.lit(""))
 
-def release(spark: SparkSession) -> None:
-    """Delete what operators have written to the shared folder; their results can't be read afterwards."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in made():
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
-    made().clear()
 
+def _sizes(column):
+    """Bytes of each value of a string or binary column; none for other columns."""
+    import numpy as np
+    import pyarrow as pa
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write *df* as Parquet into the shared folder and read it back.
+    width = {pa.string(): np.int32, pa.binary(): np.int32, pa.large_string(): np.int64, pa.large_binary(): np.int64}.get(column.type)
+    if width is None or not len(column):
+        return None
+    return np.diff(np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1].astype(np.int64))
 
-    Cuts the lineage at files that survive lost executors.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def sliced(batches: Iterator, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator:
+    """The batches in slices, without a copy, of at most *rows* rows, and of few enough that their texts have at most *size* bytes unless it is one."""
+    import numpy as np
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """*body* of *value*, which is evaluated once however often *body* uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    for batch in batches:
+        held = [s for s in map(_sizes, batch.columns) if s is not None]
+        ends = np.cumsum(sum(held)) if held else np.zeros(batch.num_rows, np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = min(max(int(np.searchsorted(ends, before + size, side="right")), start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, end - start)
+            start = end
 
 
-def whole_text(column: str = "text") -> Column:
-    """The text, with null counting as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+def map_arrow(df: DataFrame, kernel: Callable[[Iterator], Iterator], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """``mapInArrow`` whose kernel is given slices of at most *rows* rows and about 8 MB of texts.
 
+    Spark's own batches end at ``spark.sql.execution.arrow.maxBytesPerBatch``
+    (64 MB) or 10,000 rows; no setting of the session is touched.
+    """
 
-def map_arrow(df: DataFrame, kernel: Callable[[Iterator], Iterator], schema: str, rows: int = 256) -> DataFrame:
-    """``mapInArrow`` whose input batches hold few enough rows for very long texts.
+    def small(batches):
+        return kernel(sliced(batches, rows))
 
-    Spark sizes Arrow batches by rows alone, by a setting of the session that is
-    read when a plan is made; it is lowered to *rows* where it is higher.
-    """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= rows:
-        conf.set(key, str(rows))
-    return df.mapInArrow(kernel, schema)
+    return df.mapInArrow(small, schema)
 
 
 def per_process(key: tuple, make: Callable):

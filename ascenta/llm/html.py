@@ -15,9 +15,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements that never hold article text.
 DROPPED = frozenset(
-    "script style noscript template head title nav header footer aside form button select textarea input label fieldset "
+    "script style noscript template head title nav footer aside button select textarea input label "
     "iframe object embed svg canvas audio video map dialog menu noembed noframes xmp".split()
 )
+#: Elements that are dropped unless most of the page is in them.
+WRAPPERS = frozenset(("form", "fieldset"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements that hold text rather than blocks: they are never the main subtree themselves.
+LEAVES = HEADINGS | frozenset("p pre li dt dd a b i em strong span br td th caption summary".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
@@ -35,13 +40,19 @@ IMPLIED = {
     "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select", "datalist")),
 }
-#: Words of class, id and role values that mark what is not the article.
+#: Words of class, id and role values that mark what is not the article. A value's token counts if
+#: it is such a word, or a compound of such words and of COMPANIONS alone.
 ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary consent "
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs complementary consent "
     "contentinfo cookie cookies disqus footer footnav gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
-    "pagination popup promo promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored "
+    "pagination popup promo promotion recommended related share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar widget widgets".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist replies respond".split())
+COMPANIONS = frozenset("site page global top bottom left right upper lower area bar block box buttons container form group icons inner item items left links list outer panel section slot unit wrap wrapper".split())
+#: What may also stand beside words for comments and for other pages.
+OTHERS = frozenset("post posts article articles story stories user users reader readers".split())
+_BESIDE_OTHERS = COMMENT_WORDS | frozenset("related recommended share sharing social nav navigation pagination".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([A-Za-z][^\s/>]*+)[^>]*+(?:>|\Z)|<([A-Za-z][^\s/>]*+)",
@@ -51,27 +62,37 @@ _ATTRIBUTES = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _TO_END = re.compile(r"([^>]*+)>")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/>]|\Z)", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_NAME = re.compile("[A-Za-z][a-z]*|[A-Z]+")
+_PART = re.compile("[A-Za-z][a-z]*|[A-Z]+")
+#: How sure the marks of an element are that it is not the article.
+PLAIN, MARKED, COMMENTS, HIDDEN = range(4)
 
 
-def _is_aside(attributes: str) -> bool:
+def _kind_of(token: str) -> int:
+    """Whether a class, id or role names something beside the article."""
+    parts = {w.lower() for w in _PART.findall(token)}
+    own = parts & (ASIDE_WORDS | COMMENT_WORDS)
+    beside = COMPANIONS | OTHERS if parts & _BESIDE_OTHERS else COMPANIONS
+    if not own or parts - own - beside:
+        return PLAIN
+    return COMMENTS if own & COMMENT_WORDS else MARKED
+
+
+def _marks(attributes: str) -> int:
+    found = PLAIN
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style":
-            if _HIDDEN.search(value):
-                return True
-        elif name != "aria-hidden" and any(w.lower() in ASIDE_WORDS for w in _NAME.findall(value)):
-            return True
-    return False
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
+            return HIDDEN
+        if name in ("class", "id", "role"):
+            found = max([found, *map(_kind_of, value.split())])
+    return found
 
 
 class _Page:
     """The DOM as parallel lists in document order, and the text events between block boundaries."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.dropped = ["#"], [-1], [False]
+        self.tag, self.parent, self.dropped, self.mark = ["#"], [-1], [False], [PLAIN]
         self.events: list[tuple[int, str | None]] = []  # (node, text), or (-1, None) for a block boundary
         open_ = [0]
         at = 0
@@ -84,7 +105,10 @@ class _Page:
                 if rest is None:  # quotes don't pair up from here on; tags end at the next mark
                     attributes = _TO_END
                     rest = attributes.match(source, end)
-                if rest is None:
+                if rest is None:  # cut off at the end of the page: no element, and no text
+                    if start > at:
+                        events.append((open_[-1], source[at:start]))
+                    at = len(source)
                     break
                 end = rest.end()
             if start > at:
@@ -100,8 +124,13 @@ class _Page:
                 node = len(self.tag)
                 self.tag.append(name)
                 self.parent.append(open_[-1])
-                gone = self.dropped[open_[-1]] or name in DROPPED or (name not in ("html", "body", "article", "main") and bool(rest[1]) and _is_aside(rest[1]))
-                self.dropped.append(gone)
+                mark = _marks(rest[1]) if rest[1] else PLAIN
+                if name in ("html", "body", "article", "main"):  # an article may be a reader's comment, never a menu
+                    mark = mark if mark in (COMMENTS, HIDDEN) and name == "article" else PLAIN
+                if name in WRAPPERS or (name == "header" and not any(self.tag[k] in ("article", "main") for k in open_)):
+                    mark = max(mark, MARKED)
+                self.mark.append(mark)
+                self.dropped.append(self.dropped[open_[-1]] or name in DROPPED or mark == HIDDEN)
                 if name in VOID:
                     continue
                 if name in RAW:
@@ -144,15 +173,39 @@ class _Page:
                     break
 
 
-def _densities(page: _Page, chars: list[int]) -> tuple[list[float], list[float]]:
-    """Link-adjusted characters per tag of each node, and of its own text alone, from its own text's *chars*."""
+def _cut_marked(page: _Page, chars: list[int]) -> None:
+    """Drops marked elements but those that hold the page's body.
+
+    Comments go unless there is nothing else. Of the rest of the text, a form that holds
+    half of it is the page's body; so is any other marked element that holds half of it with an
+    article, main element or first heading, or nine tenths of it.
+    """
+    n = len(page.tag)
+    for comments in (True, False):
+        held, body = [0 if page.dropped[i] else chars[i] for i in range(n)], [not page.dropped[i] and page.tag[i] in ("article", "main", "h1") for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            held[page.parent[i]] += held[i]
+            body[page.parent[i]] |= body[i]
+        for i in range(1, n):
+            share = held[i] / held[0] if held[0] else 0.0
+            if page.dropped[page.parent[i]]:
+                page.dropped[i] = True
+            elif comments:
+                page.dropped[i] |= page.mark[i] == COMMENTS and share < 1
+            elif page.mark[i] == MARKED:
+                page.dropped[i] |= share < (0.5 if body[i] or page.tag[i] in WRAPPERS else 0.9)
+
+
+def _densities(page: _Page, chars: list[int]) -> tuple[list[float], list[float], list[float]]:
+    """Link-adjusted characters per tag of each node, and of its own text alone, from its own text's *chars*; and the share of links in each."""
     n = len(page.tag)
     link = [t == "a" for t in page.tag]
     for i in range(1, n):
         link[i] = link[i] or link[page.parent[i]]
-    c, t = chars[:], [0] * n
-    lc = [chars[i] if link[i] else 0 for i in range(n)]
+    c, t = [0 if page.dropped[i] else chars[i] for i in range(n)], [0] * n
+    lc = [c[i] if link[i] else 0 for i in range(n)]
     lt = [0] * n
+    own = c[:]
     for i in range(n - 1, 0, -1):
         if not page.dropped[i]:
             p = page.parent[i]
@@ -162,8 +215,8 @@ def _densities(page: _Page, chars: list[int]) -> tuple[list[float], list[float]]
             lt[p] += lt[i] + (page.tag[i] == "a")
     share = lc[0] / c[0] if c[0] else 0.0
     nodes = [_density(c[i], t[i], lc[i], lt[i], share) for i in range(n)]
-    own = [_density(chars[i], 0, chars[i] * link[i], link[i], share) for i in range(n)]
-    return nodes, own
+    alone = [_density(own[i], 0, own[i] * link[i], link[i], share) for i in range(n)]
+    return nodes, alone, [lc[i] / c[i] if c[i] else 0.0 for i in range(n)]
 
 
 def _density(c: int, t: int, lc: int, lt: int, share: float) -> float:
@@ -175,30 +228,40 @@ def _density(c: int, t: int, lc: int, lt: int, share: float) -> float:
 
 
 def _select(page: _Page, chars: list[int]) -> list[bool]:
-    """Which nodes hold the main text."""
+    """Which nodes hold the main text: the subtree whose children's densities sum to the most, and what belongs to it on its way to the body.
+
+    Beside a node of that way belong headings before it and whatever is no list
+    of links and either as dense as the thinnest node of the way or of the kind of the
+    node itself, as one section of an article is beside another.
+    """
     n = len(page.tag)
-    density, sums = _densities(page, chars)
+    density, sums, links = _densities(page, chars)
     for i in range(n - 1, 0, -1):
         if not page.dropped[i]:
             sums[page.parent[i]] += density[i]
     inside = [i for i in range(n) if not page.dropped[i] and density[i] > 0]
+    chosen = [False] * n
     if not inside:
-        return [False] * n
+        return chosen
     body = next((i for i in inside if page.tag[i] == "body"), 0)
-    top = max(inside, key=lambda i: (sums[i], -i))
-    path = [top]
-    while path[-1] not in (body, 0):
-        path.append(page.parent[path[-1]])
-    threshold = min(density[i] for i in path)
-    named = [i for i in path if page.tag[i] in ("article", "main")]
-    chosen = [False] * n
-    chosen[named[-1] if named else top] = True
-    if not named:  # beside the best subtree, what is as dense as the thinnest place on the way to the body
-        for i in inside:
-            if i not in path and page.parent[i] in path and density[i] >= threshold:
-                chosen[i] = True
+    top = max((i for i in inside if page.tag[i] not in LEAVES), key=lambda i: (sums[i], i), default=0)
+    way = [top]
+    while way[-1] not in (body, 0):
+        way.append(page.parent[way[-1]])
+    threshold = min(density[i] for i in way)
+    chosen[top] = True
+    on = dict(zip(way[1:], way, strict=False))  # the way's node below each node of the way
+    for i in inside:
+        child = on.get(page.parent[i])
+        if child is None or child == i or i in on or links[i] > 0.5:
+            continue
+        heading = page.tag[i] in HEADINGS and i < child
+        chosen[i] = heading or density[i] >= threshold or (page.tag[i] == page.tag[child] != "div")
     for i in range(1, n):
         chosen[i] = (chosen[i] or chosen[page.parent[i]]) and not page.dropped[i]
+    if way[-1] != top or top == 0:  # text that lies bare beside the way
+        for i in on:
+            chosen[i] = chosen[i] or (chars[i] > 0 and links[i] <= 0.5 and not page.dropped[i])
     return chosen
 
 
@@ -216,6 +279,7 @@ def extract_text(source: str | None) -> str:
             text = html.unescape(text) if "&" in text else text
             events.append((node, text))
             chars[node] += len(text.strip())
+    _cut_marked(page, chars)
     chosen = _select(page, chars)
     blocks: list[str] = []
     held: list[str] = []
@@ -234,16 +298,19 @@ def extract_text(source: str | None) -> str:
 def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: *id_col*, *url_col*, text and n_chars (its code points).
 
-    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-    hidden parts and reader comments are cut by element name and by the words of
-    class, id and role. Of the rest, every node gets its composite text density
+    Scripts, styles, menus, footers, sidebars, controls and hidden parts go by
+    their element. Forms, headers outside an article, and elements with a class, id or
+    role that names something beside the article (a whole token, or a compound of
+    such words alone: ``cookie-notice`` but not ``with-sidebar``) go unless they
+    hold the page's body. Of the rest, every node gets its composite text density
     (characters per tag, adjusted for links); the subtree whose children's
-    densities sum to the most is the main text, or the outermost article or main
-    element around it. Without such an element, neighbours of the path to the
-    body that are at least as dense as the thinnest node on it belong too.
+    densities sum to the most is the main text, with those neighbours on its way
+    to the body that are headings before it or as dense as the thinnest node of the way.
 
-    Null and empty html give an empty text. The whole html is read, whatever its
-    length; other columns are not read; each row is judged alone.
+    Null and empty html give an empty text, and so does a page without text; a tag
+    that the end of the page cuts off is no text. The whole html is read, whatever its
+    length; other columns are not read; each row is judged alone, so repeated rows and
+    equal ids get a row each; an empty table gives an empty result.
     """
     kind = {c: df.schema[c].dataType.simpleString() for c in (id_col, url_col)}
 

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, materialize, whole_text
+from ..storage import materialize
+from .common import BLANKS, whole_text
 
 
 def word_tokens(text_col: str = "text") -> Column:
@@ -17,10 +18,19 @@ def word_tokens(text_col: str = "text") -> Column:
     return F.greatest(F.lit(1), F.regexp_count(text, F.lit(f"[^{BLANKS}]+"))).cast("long")
 
 
+#: Words from which a text is a book, or an article.
+BOOK_WORDS, ARTICLE_WORDS = 2_000, 200
+#: A genre by length, the domain of documents whose table names none, in SQL.
+GENRE = f"""CASE WHEN regexp_count(coalesce(text, ''), '[^{BLANKS}]+') >= {BOOK_WORDS} THEN 'book' WHEN regexp_count(coalesce(text, ''), '[^{BLANKS}]+') >= {ARTICLE_WORDS} THEN 'article' ELSE 'note' END""".replace("\\", "\\\\")
+
+
 def _weights(level: str, weights: Mapping[str, int] | None) -> Column:
     """The weight of a node by its name at *level*; names without one weigh 1."""
     if not weights:
         return F.lit(1).cast("long")
+    for name, weight in weights.items():
+        if isinstance(weight, bool) or not isinstance(weight, int) or weight < 0:
+            raise ValueError(f"the weight of {name} must be a whole number of 0 or more")
     names = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv))
     return F.coalesce(F.try_element_at(names, F.col(level)), F.lit(1)).cast("long")
 
@@ -32,8 +42,11 @@ def _shares(nodes: DataFrame, parent: list[str], level: str) -> DataFrame:
     filled, where its part of what is left would not fit, or takes its part.
     So a child's shortage goes to its siblings, and only what none of them can
     hold stays undealt with the parent, whose own capacity has told its siblings so.
+    Parts are rounded down; tokens that are left go one each to the children with
+    the largest remainders, then by name, who all have room.
     """
-    order = Window.partitionBy(*parent).orderBy(F.col("capacity") / F.col("weight"), F.col(level).asc_nulls_first())
+    sort = F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight")).otherwise(F.lit(0.0))  # a weight of 0 comes with no capacity
+    order = Window.partitionBy(*parent).orderBy(sort, F.col(level).asc_nulls_first())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*parent)
     held = F.coalesce(F.sum("capacity").over(before), F.lit(0))
@@ -42,26 +55,32 @@ def _shares(nodes: DataFrame, parent: list[str], level: str) -> DataFrame:
     full = F.col("capacity") * F.col("__weighed") <= F.col("weight") * (F.col("budget") - F.col("__held"))
     ranked = ranked.withColumn("__full", full)
     # Children that are not full end the order, and the first of them sees most of the budget left.
+    open_ = lambda c: F.when(~F.col("__full"), c)
     ranked = ranked.withColumns({
-        "__open": F.sum(F.when(~F.col("__full"), F.col("weight"))).over(whole),
-        "__left": F.max(F.when(~F.col("__full"), F.col("budget") - F.col("__held"))).over(whole),
-    })
-    given = F.when(F.col("__full"), F.col("capacity")).otherwise(F.expr("greatest(0, __left * weight div __open)"))
-    return ranked.withColumn("given", given.cast("long")).drop("__held", "__weighed", "__full", "__open", "__left")
+        "__open": F.sum(open_(F.col("weight"))).over(whole),
+        "__left": F.max(open_(F.col("budget") - F.col("__held"))).over(whole),
+    }).withColumns({"__part": F.expr("__left * weight div __open"), "__rest": F.expr("__left * weight % __open")})
+    turn = Window.partitionBy(*parent, "__full").orderBy(F.col("__rest").desc(), F.col(level).asc_nulls_first())
+    ranked = ranked.withColumns({"__more": F.col("__left") - F.sum(open_(F.col("__part"))).over(whole), "__turn": F.row_number().over(turn)})
+    given = F.when(F.col("__full"), F.col("capacity")).otherwise(F.col("__part") + (F.col("__turn") <= F.col("__more")).cast("int"))
+    return ranked.withColumn("given", given.cast("long")).drop("__held", "__weighed", "__full", "__open", "__left", "__part", "__rest", "__more", "__turn")
 
 
 def leaf_budgets(leaves: DataFrame, levels: Sequence[str], target: int | Column, weights: Mapping[str, Mapping[str, int]] | None = None, max_epochs: int = 1) -> DataFrame:
     """*leaves* (the *levels* and ``supply``) with ``budget``, the tokens each is to give.
 
-    Weights are integers by level and name. The tree has one row for each leaf,
+    Weights are whole numbers of 0 or more by level and name; others raise. What lies
+    below a weight of 0 gets nothing and holds nothing for its siblings. The tree has one row for each leaf,
     so it is small beside the documents; each level is one aggregation and one
-    window over siblings.
+    window over siblings, which meet in one task.
     """
     weights = weights or {}
     above: DataFrame | None = None
+    open_ = reduce(lambda a, b: a & b, (_weights(level, weights.get(level)) > 0 for level in levels))
+    leaves = leaves.withColumn("__room", F.when(open_, F.col("supply") * max_epochs).otherwise(F.lit(0)))
     for depth, level in enumerate(levels):
         path = list(levels[: depth + 1])
-        nodes = leaves.groupBy(*path).agg((F.sum("supply") * max_epochs).cast("long").alias("capacity"))
+        nodes = leaves.groupBy(*path).agg(F.sum("__room").cast("long").alias("capacity"))
         nodes = nodes.withColumn("weight", _weights(level, weights.get(level)))
         if above is None:
             nodes = nodes.withColumn("budget", (target if isinstance(target, Column) else F.lit(target)).cast("long"))
@@ -70,7 +89,7 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], target: int | Column,
         parent = path[:-1] or ["__root"]
         nodes = nodes if depth else nodes.withColumn("__root", F.lit(0))
         above = _shares(nodes, parent, level).select(*path, F.col("given").alias("budget"))
-    return _join_null_safe(leaves, above, list(levels))
+    return _join_null_safe(leaves.drop("__room"), above, list(levels))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -93,7 +112,7 @@ def mix_sources(
 
     *levels* names the tree from the root down, such as domain, language and
     source, each with the column that places a row. The target is *share* (a
-    fraction, two integers) of all tokens. Budgets go down the tree by integer
+    fraction, two integers) of all tokens; sums are written, and jobs run, when this is called. Budgets go down the tree by integer
     *weights*; what a node cannot fill goes to its siblings first, then to its
     parent's. A leaf is drawn in epochs: each is the leaf in an order seeded by
     the epoch, whole ones first, then the prefix of the last one whose tokens end

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, map_arrow, materialize, mixed, texts_of, whole_text
+from ..operators.components import connected
+from ..storage import materialize
+from .common import WordTable, map_arrow, mixed, texts_of, whole_text
 
 
 @dataclass(frozen=True)
@@ -146,32 +148,6 @@ def _sketches(df: DataFrame, id_col: str, text_col: str, like: Similarity) -> Da
     return map_arrow(source, kernel, f"id {kind}, mark long, row long, n long, digest binary, keys array<long>, signature binary")
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """The least node of each node's component (node, root), from *edges* (a, b); isolated nodes need no row.
-
-    Alternates the large-star and small-star steps, each a grouped minimum (combined
-    before the shuffle) joined back to its edges, until the edges are stars. Edges and
-    minima are written to the shared folder, so that neither side of the joins is
-    dealt already and Spark can split the edges of a node that has very many; only
-    the edges' count and a sum of hashes come to the driver.
-    """
-    low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
-    now = materialize(edges.where("a <> b").select(high, low).distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark or not seen[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        mark = seen
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.where("a <> b").distinct(), "large")
-        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        now = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
-
-
 def link_block(sets: list, signatures, like: Similarity, skip=None) -> list[int]:
     """The component of each set of a block: the index of its first member.
 

@@ -13,8 +13,8 @@ import corpus_pipeline
 from . import bpe, exact, html, mixing, near, quality, rules, suffix, tokenbin, urls
 
 #: The tree of the mix, root first, and the integer weights of its named nodes; others weigh 1.
-MIX_LEVELS = {"domain": "concat('domain', pmod(coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0), 3))", "lang": "lang", "source": "source"}
-MIX_WEIGHTS = {"domain": {"domain0": 5, "domain1": 3, "domain2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_LEVELS = {"domain": mixing.GENRE, "lang": "lang", "source": "source"}
+MIX_WEIGHTS = {"domain": {"book": 2, "article": 5, "note": 3}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (2, 3), 2, 42
 #: The rules of the url contract: host, then path.
 URL_RULES = {"block": ["net/", "example.com/de/"], "allow": ["example.net/en/", "org/fr/"]}
@@ -58,7 +58,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+    pages = _table(spark, sf_dir, "pages")
+    return urls.filter_urls(pages, URL_RULES, model=urls.train_url_model(urls.unigram_shares(pages)))
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,19 +215,20 @@ n_{names} AS (
   FROM n_{names}
 ), f_{names} AS (
   SELECT *, capacity * weighed <= weight * (budget - held) AS filled FROM h_{names}
+), l_{names} AS (
+  SELECT *, max(budget - held) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent}) AS rest, sum(weight) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent}) AS open FROM f_{names}
+), q_{names} AS (
+  SELECT *, rest * weight // open AS floor, rest - sum(rest * weight // open) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent}) AS more,
+         row_number() OVER (PARTITION BY {parent}, filled ORDER BY rest * weight % open DESC, {path[-1]}) AS turn FROM l_{names}
 ), b_{names} AS (
-  SELECT {keys}, (CASE WHEN filled THEN capacity ELSE greatest(0,
-    (max(budget - held) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent})) * weight
-    // (sum(weight) FILTER (WHERE NOT filled) OVER (PARTITION BY {parent}))) END)::BIGINT AS budget
-  FROM f_{names}
+  SELECT {keys}, (CASE WHEN filled THEN capacity ELSE floor + (turn <= more)::INT END)::BIGINT AS budget FROM q_{names}
 )"""
 
 
 _OP6_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, lang, source, 'domain' || coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0) % 3 AS domain,
-         greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS mix_tokens
-  FROM documents
+  SELECT doc_id, lang, source, CASE WHEN mix_tokens >= {mixing.BOOK_WORDS} THEN 'book' WHEN mix_tokens >= {mixing.ARTICLE_WORDS} THEN 'article' ELSE 'note' END AS domain, mix_tokens
+  FROM (SELECT *, greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS mix_tokens FROM documents)
 ), leaves AS (
   SELECT domain, lang, source, sum(mix_tokens)::BIGINT AS supply FROM d GROUP BY ALL
 ), root AS (

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, mixed, texts_of, whole_text
+from ..storage import materialize
+from .common import map_arrow, mixed, texts_of, whole_text
 
 #: Bytes of an anchor.
 GRAM = 24

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, mixed, new_path, per_process, texts_of
+from ..storage import new_path
+from .common import map_arrow, per_process, texts_of
 
 #: Token ids of documents in one block of a file, about.
 BLOCK_TOKENS = 1 << 18
@@ -67,210 +68,109 @@ def decode_ranks(control: bytes, data: bytes, count: int):
 
 
 def _tokenizer(path: str):
+    """The tokenizer as its file sets it."""
+
     def make():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are what runs in parallel
         from tokenizers import Tokenizer
 
-        own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True  # their strings in a text are ordinary text
-        return own
+        return Tokenizer.from_file(path)
 
     return per_process(("tokenizer", path), make)
 
 
-def _plain(path: str):
-    """The tokenizer as its file sets it, and a search for its added tokens' strings in a text's bytes; strings that only normalising makes equal match too."""
-
-    def make():
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(path)
-        added = [re.escape(a.content.encode()) for a in own.get_added_tokens_decoder().values()]
-        return own, re.compile(b"|".join(added), re.I).search if added else lambda text: None
-
-    return per_process(("plain", path), make)
-
+#: Words of letters alone that no normalisation joins, parts or turns into marks.
+_PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 
-#: Marks that end a chunk without touching the letters before them; the apostrophe is not among them.
-_ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Chunks of letters alone that no normalisation joins, parts or turns into marks.
-_WORD = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-_BLANKS = b" \t\n\x0b\x0c\r"
 
-
-def _powers(n: int):
-    """The first *n* powers of an odd base and their inverses, modulo 2**64; kept and grown."""
-    import numpy as np
-
-    def make(size: int):
-        ones = np.ones(size, np.uint64)
-        up, down = ones.copy(), ones
-        up[1:], down[1:] = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-        return np.cumprod(up), np.cumprod(down)
-
-    size = 1 << max(20, (n - 1).bit_length())
-    return per_process(("powers", size), lambda: make(size))
-
-
-class _TokenTable:
-    """Ids of whole texts, by the ids of their white-space-separated chunks.
+class _TokenTable(dict):
+    """The ids of words, by the words' bytes.
 
     The tokenizer's normaliser and splitter drop white space and look at nothing
-    across it, so a text's ids are those of its chunks in order. A chunk's end
-    marks are cut off where it has an ASCII letter before them, since the splitter
-    parts these too. Chunks are told apart by 64-bit hashes of their bytes, all made
-    at once by prefix sums; each new one goes through the library once. Beyond
-    *most* chunks, those met once since the last time are dropped.
+    across it, so a text's ids are those of its words in order, and each word that
+    is new goes through the library once. Texts that hold the string of an added
+    token, which the library looks for before it parts words, go through it whole.
+    Beyond *most* words the table is emptied.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 400_000):
         import numpy as np
-        import xxhash
 
         self.own, self.most = _tokenizer(path), most
-        # Sorted hashes and their chunks' numbers: most in the first pair, those added lately in the second.
-        self.known = [[np.zeros(0, np.uint64), np.zeros(0, np.int64)] for _ in range(2)]
-        self.count = 0
-        self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.own.get_vocab_size() <= 1 << 16 else np.uint32), 0
-        self.place = np.zeros((3, 1 << 14), np.int64)  # start, length and uses of each chunk
-        self.value = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 7) | 1 for b in range(256)], np.uint64)
-        self.last = np.zeros(self.own.get_vocab_size(), bool)  # ids that end a word
-        self.last[[i for token, i in self.own.get_vocab().items() if token.endswith("</w>")]] = True
-        self.kind = np.zeros(256, np.uint8)  # 1: white space, 2: end mark, 3: letter that ends a word
-        for chars, kind in ((_BLANKS, 1), (_ENDS, 2), (bytes(range(97, 123)), 3)):
-            self.kind[list(chars)] = kind
-
-    def _chunks(self, data):
-        """Starts and ends of chunks, end marks being chunks of their own after a letter."""
-        import numpy as np
-
-        kind = self.kind[data]
-        text = kind != 1
-        edge = np.flatnonzero(np.diff(text, prepend=False, append=False))
-        starts, ends = edge[0::2], edge[1::2]
-        # The last byte that is no end mark, if it lies in the chunk before its end and is a letter, parts it.
-        solid = np.maximum.accumulate(np.where(kind == 2, -1, np.arange(len(data))))
-        last = solid[ends - 1]
-        parted = (last >= starts) & (last < ends - 1) & (kind[np.maximum(last, 0)] == 3)
-        cut = last[parted] + 1
-        return np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
-
-    def _hashes(self, data, starts, ends):
-        import numpy as np
-
-        up, down = _powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.value[data] * up[: len(data)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
-    def _find(self, keys):
-        """Numbers of sorted hashes, -1 for new ones."""
+        vocabulary = self.own.get_vocab()
+        self.kind = np.dtype("<u2" if self.own.get_vocab_size() <= 1 << 16 else "<u4")
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        added = [re.escape(a.content.encode()) for a in self.own.get_added_tokens_decoder().values()]
+        # Strings that only normalising makes equal match too, as case alone can.
+        self.added = re.compile(b"|".join(added), re.I).search if added else lambda text: None
+        self._empty()
+
+    def _empty(self) -> None:
         import numpy as np
 
-        out = np.full(len(keys), -1)
-        for held, numbers in self.known:
-            if len(held):
-                at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-                same = held[at] == keys
-                out[same] = numbers[at[same]]
-        return out
+        self.clear()
+        self.flat, self.used = np.zeros(1 << 16, self.kind), 0
+        self.place = np.zeros((2, 1 << 14), np.int64)  # start and length of each word's ids
 
-    def _add(self, keys, lengths, ids) -> None:
-        """New chunks by their sorted hashes."""
+    def _add(self, words: list[bytes], lengths, ids) -> None:
         import numpy as np
 
+        first, end = len(self), len(self) + len(words)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        end = self.count + len(keys)
         while self.place.shape[1] < end:
             self.place = np.concatenate([self.place, np.zeros_like(self.place)], axis=1)
-        self.place[:, self.count : end] = self.used + np.cumsum(lengths) - lengths, lengths, np.zeros_like(lengths)
+        self.place[:, first:end] = self.used + np.cumsum(lengths) - lengths, lengths
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        late = self.known[1]
-        at = np.searchsorted(late[0], keys)
-        self.known[1] = [np.insert(late[0], at, keys), np.insert(late[1], at, np.arange(self.count, end))]
-        self.count = end
-        if len(self.known[1][0]) > max(1 << 14, len(self.known[0][0]) // 4):
-            both = [np.concatenate(pair) for pair in zip(*self.known, strict=True)]
-            order = np.argsort(both[0], kind="stable")
-            self.known = [[a[order] for a in both], [a[:0] for a in both]]
-
-    def _ids(self, numbers):
-        """The ids of chunks in a row, and where each chunk's end."""
-        import numpy as np
-
-        starts, lengths = self.place[0, numbers], self.place[1, numbers]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], ends
+        self.update(zip(words, range(first, end), strict=True))
 
-    def _trim(self) -> None:
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of new words from the library."""
         import numpy as np
 
-        if self.count <= self.most:
-            return
-        keys, numbers = (np.concatenate(pair) for pair in zip(*self.known, strict=True))
-        kept = np.flatnonzero(self.place[2, numbers] > 1)[: self.most // 2]
-        kept = kept[np.argsort(keys[kept])]
-        keys, numbers = keys[kept], numbers[kept]
-        ids, ends = self._ids(numbers)
-        self.known, self.count, self.used = [[keys[:0], numbers[:0]] for _ in range(2)], 0, 0
-        self._add(keys, np.diff(ends, prepend=0), ids)
+        texts = [w.decode() for w in words]
+        plain = np.array([_PLAIN(t) is not None for t in texts], bool)
+        if plain.any():  # in one text: each is one word to the splitter, and its last id says so
+            ids = np.array(self.own.encode(" ".join(itertools.compress(texts, plain)), add_special_tokens=False).ids, np.int64)
+            lengths = np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0)
+            self._add(list(itertools.compress(words, plain)), lengths, ids)
+        rest = list(itertools.compress(texts, ~plain))
+        if rest:
+            got = self.own.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            self._add(list(itertools.compress(words, ~plain)), np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
 
     def encode(self, texts: list[bytes]):
         """All ids of the texts, and how many each has."""
         import numpy as np
 
-        self._trim()
-        raw = b" ".join(t.lower() for t in texts)  # the normaliser lower-cases; ASCII alone needs no context
-        data = np.frombuffer(raw, np.uint8)
-        starts, ends = self._chunks(data) if len(data) else (np.zeros(0, np.int64),) * 2
-        keys, first, where = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
-        numbers = self._find(keys)
-        new = np.flatnonzero(numbers < 0)
-        if len(new):
-            chunks = b"\n".join([raw[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]).decode().split("\n")
-            word = np.array([_WORD(c) is not None for c in chunks], bool)
-            if word.any():  # in one text: each is one word to the splitter, and its last id says so
-                got = self.own.encode_batch_fast([" ".join(itertools.compress(chunks, word))], add_special_tokens=False)[0]
-                ids = np.array(got.ids, np.int64)
-                self._add(keys[new[word]], np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0), ids)
-            if not word.all():
-                rest = list(itertools.compress(chunks, ~word))
-                got = self.own.encode(rest, is_pretokenized=True, add_special_tokens=False)
-                self._add(keys[new[~word]], np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
-            numbers[new] = self._find(keys[new])
-        self.place[2, numbers] += np.bincount(where, minlength=len(keys))
-        ids, stops = self._ids(numbers[where])
-        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        marks = np.concatenate([[0], stops])[np.searchsorted(starts, bounds)]
-        return ids, np.diff(marks)
-
-
-def _encode(table: _TokenTable, path: str, texts: list[bytes]):
-    """All ids of the texts, and how many each has; those with an added token's string go through the library whole."""
-    import numpy as np
-
-    own, holds = _plain(path)
-    whole = [i for i, t in enumerate(texts) if holds(t)]
-    if not whole:
-        return table.encode(texts)
-    rest = list(texts)
-    for i in whole:
-        rest[i] = b""
-    ids, counts = table.encode(rest)
-    parts = np.split(ids, np.cumsum(counts)[:-1])
-    for i in whole:
-        parts[i] = np.array(own.encode(texts[i].decode(), add_special_tokens=False).ids, ids.dtype)
-    return np.concatenate(parts), np.array([len(p) for p in parts], counts.dtype)
+        if len(self) > self.most:
+            self._empty()
+        whole = [i for i, t in enumerate(texts) if self.added(t)]
+        # The normaliser lower-cases; of ASCII letters that needs no context.
+        words = [[] if i in whole else t.lower().split() for i, t in enumerate(texts)]
+        if new := set().union(*words) - self.keys():
+            self._learn(sorted(new))
+        numbers = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
+        starts, lengths = self.place[0, numbers], self.place[1, numbers]
+        ends = np.cumsum(lengths)
+        ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
+        counts = np.diff(np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])])
+        if not whole:
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i in whole:
+            parts[i] = np.array(self.own.encode(texts[i].decode(), add_special_tokens=False).ids, self.kind)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of id and token_ids, packed little-endian 16-bit where the vocabulary allows, else 32-bit.
 
-    Null text counts as empty and has the end id alone. Each task ends with one
+    The ids are those the library gives for each whole text with its file's
+    settings; the string of an added token in a text is that token. Null text
+    counts as empty and has the end id alone; an empty table gives no rows. Each task ends with one
     more row, whose counts (null in all others) are how often it met each id, packed 64-bit.
     """
     kind = df.schema[id_col].dataType.simpleString()
@@ -285,7 +185,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
         total = np.zeros(size, np.int64)
         table = per_process(("tokens", tokenizer_path), lambda: _TokenTable(tokenizer_path))
         for batch in batches:
-            ids, counts = _encode(table, tokenizer_path, texts_of(batch.column(1)))
+            ids, counts = table.encode(texts_of(batch.column(1)))
             ends = np.cumsum(counts)
             with_end = np.insert(ids, ends, end_id).astype(wide)
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * wide.itemsize
@@ -415,6 +315,13 @@ def read_tokens(spark: SparkSession, files: TokenFiles, id_col: str = "doc_id")
 
 
 def encode_corpus(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
-    """Write the ids of *df* to new files in the shared folder and read them back."""
+    """Write the ids of *df* to new files in the shared folder and read them back: *id_col*, start, n_tokens and token_ids.
+
+    Null and empty texts have the end id alone; null ids come first; of rows of
+    equal id, the order is that of a hash of their ids, so rows that repeat both
+    id and text are interchangeable; very long texts have a block of their own; an empty
+    table gives an empty result. Only id and text are read. The files are
+    written when this is called, and stay until ``storage.release``.
+    """
     spark = df.sparkSession
     return read_tokens(spark, write_tokens(df, new_path(spark, "tokens"), tokenizer_path, end_id, id_col, text_col, shards), id_col)

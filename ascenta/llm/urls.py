@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-#: Words that mark a host by themselves; each counts as three training tokens.
-STRONG_WORDS = "casino porn xxx viagra cialis malware phish spyware warez keygen gambling".split()
-#: Seed words of hosts and paths to block.
-BLOCK_WORDS = (
-    "ads ad adult adserver affiliate banner bet bets betting bingo bonus cheap click clicks coupon crack dating "
-    "doorway escort farm free gamble hack hacks jackpot loan loans lottery nude payday pills poker popup promo "
-    "replica scam sex slots spam spin steroids torrent track tracker tracking traffic win winner x"
-).split() + 3 * STRONG_WORDS
-#: Seed words of ordinary hosts and paths.
+#: Words that speak for a block by themselves, by what they are about. Only unambiguous ones: what
+#: ordinary names hold as well, such as free, win or track, is no evidence.
+BLOCK_SEEDS = {
+    "gambling": "betting bets bingo casino casinos gambling jackpot lottery poker roulette slots",
+    "adult": "adult escort escorts nude porn sex xxx",
+    "pharmacy": "cialis pills steroids viagra",
+    "malware": "cracks keygen malware phish phishing spyware torrent torrents warez",
+    "advertising": "ads adserver advert adverts clickbait doorway popunder popup",
+    "fraud": "payday replica scam scams spam spammer",
+}
+BLOCK_WORDS = " ".join(BLOCK_SEEDS.values()).split()
+#: Words that speak for an ordinary url.
 ALLOW_WORDS = (
     "about academy archive art article articles blogs book books business city college community culture data "
     "developer docs education edu gov event events faq food forum garden guide health help history home journal lab "
@@ -29,8 +32,15 @@ ALLOW_WORDS = (
     "press product project radio recipe research review school science search shop society software sport sports "
     "store stories story support team tech time topic travel university weather wiki work world"
 ).split()
-#: Words of any url; they count for both classes.
-NEUTRAL_WORDS = "blog co com de en es example fr html http https index info io m net org page pages php ref the web www".split()
+#: Words of any url; they tell the classes apart by nothing.
+NEUTRAL_WORDS = (
+    "best big blog cheap click club co com de en es example farm for free fr get go good http https index info io link links m my net "
+    "new now of one org page pages php ref site street the top track track web win www you"
+).split()
+#: What each word costs beside its share.
+BOUNDARY = 2.0
+#: The least share of all tokens that a word has which is collected: at most one over it are.
+LEAST_SHARE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -39,32 +49,55 @@ class UrlModel:
 
     cost: dict[str, float]
     odds: dict[str, float]
-    unknown: float
     prior: float
     longest: int = field(default=24)
+    #: What an unknown stretch costs at once, and for each letter.
+    gap: float = 6.0
+    per_char: float = 2.7
+
+
+def unigram_shares(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", least: float = LEAST_SHARE) -> dict[str, float]:
+    """The share of each word (letters a to z, at least two) in all tokens of the urls and texts of *pages*.
+
+    Counted over every row, map side first. Words of a share below *least* are
+    not collected, so at most 1 / *least* words come to the driver however large the table is.
+    """
+    text = F.coalesce(F.col(url_col), F.lit(""))
+    if html_col:
+        text = F.concat_ws(" ", text, F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "<[^>]*>", " "))
+    counts = pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,}"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    frequent = counts.join(F.broadcast(total)).where(F.col("n") >= F.col("total") * F.lit(least))  # one row
+    return {r.word: r.n / r.total for r in frequent.collect()}
 
 
 def train_url_model(
+    shares: dict[str, float] | None = None,
     block: list[str] = BLOCK_WORDS,
     allow: list[str] = ALLOW_WORDS,
     neutral: list[str] = NEUTRAL_WORDS,
-    smoothing: float = 0.1,
+    smoothing: float = 0.04,
     block_share: float = 0.05,
 ) -> UrlModel:
-    """Multinomial naive Bayes and a unigram model from seed words.
-
-    Each seed word is one training token of its class, each neutral one of both.
-    Words not seen in training tell the classes apart by nothing, so a url of
-    such words gets the prior, *block_share*.
+    """A unigram model from *shares* of words, and multinomial naive Bayes from the seed words.
+
+    A word's cost is the logarithm of its share and a part for its being a word of
+    its own, which keeps names from falling into short frequent words. Ordinary seed words have a share
+    of one in 10,000 at least, block words of one in five million, so that they
+    are not cut out of names. Each seed word is one training token of its class;
+    all other words, however frequent, tell the classes apart by nothing, so a
+    url of such words gets the prior, *block_share*.
     """
-    counts = {"block": Counter([*block, *neutral]), "allow": Counter([*allow, *neutral])}
-    words = set().union(*counts.values())
-    total = sum(sum(c.values()) for c in counts.values())
-    size = max(sum(c.values()) for c in counts.values())
+    shares = dict(shares or {})
+    for words, floor in ((allow, 1e-4), (neutral, 1e-4), (block, 2e-7)):
+        for w in words:
+            shares[w] = max(shares.get(w, 0.0), floor)
+    counts = {"block": Counter(block), "allow": Counter(allow)}
+    words = set(block) | set(allow)
+    size = max(len(block), len(allow))
     rate = {k: {w: (c[w] * size / sum(c.values()) + smoothing) / (size + smoothing * len(words)) for w in words} for k, c in counts.items()}
-    cost = {w: -math.log((counts["block"][w] + counts["allow"][w]) / total) for w in words}
     odds = {w: math.log(rate["block"][w]) - math.log(rate["allow"][w]) for w in words}
-    return UrlModel(cost, odds, math.log(total), math.log(block_share) - math.log(1 - block_share), max(map(len, words)))
+    return UrlModel({w: BOUNDARY - math.log(s) for w, s in shares.items()}, odds, math.log(block_share) - math.log(1 - block_share), max(map(len, shares)))
 
 
 def segment(name: str, model: UrlModel) -> list[str]:
@@ -72,11 +105,10 @@ def segment(name: str, model: UrlModel) -> list[str]:
 
     A stretch that is no known word costs a fixed part and more for each
     character, so unknown names stay whole rather than fall into letters, and a
-    short known word is not cut out of one. Ties go to the longer last word.
+    rare word is not cut out of one. Ties go to the longer last word.
     """
     n = len(name)
-    back, per_char = [0] * (n + 1), 2.2
-    gap = model.unknown + 6.0
+    back, gap, per_char = [0] * (n + 1), model.gap, model.per_char
     # Two states: the cost of a split that ends with a known word, and of one inside an unknown stretch.
     known, open_ = [0.0] + [math.inf] * n, [math.inf] * (n + 1)
     from_known, from_open = [0] * (n + 1), [0] * (n + 1)

@@ -20,8 +20,8 @@ def test_groups(spark, corpus):
     path, docs = corpus
     docs = [(i, t) for i, t, *_ in docs]
     want = expected(docs)
-    for fan_in in (2, 16):
-        found = exact.exact_duplicates(spark.read.parquet(f"{path}/documents.parquet").repartition(9), fan_in=fan_in).collect()
+    for most_runs in (2, 16):
+        found = exact.exact_duplicates(spark.read.parquet(f"{path}/documents.parquet").repartition(9), most_runs=most_runs).collect()
         assert len(found) == len(docs)
         text = dict(docs)
         for r in found:
@@ -48,12 +48,34 @@ def test_no_python_in_plan(edge):
 
 
 def test_release(spark, edge):
-    from ascenta.llm import common
+    from ascenta import storage
 
-    kept = common.materialize(edge.select("doc_id"), "held")
-    assert kept.count() == edge.count() and common.made()
-    path = common.made()[-1]
-    common.release(spark)
-    assert not common.made()
+    kept = storage.materialize(edge.select("doc_id"), "held")
+    assert kept.count() == edge.count()
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    storage.release(spark)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def test_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    from ascenta.llm.common import sliced
+
+    texts = ["x" * n for n in (5, 0, 90, 300, 1, 1, 40, 70)] + [None, "", "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    for part in ([batch], [batch.slice(2), batch.slice(0, 0), batch.slice(4, 3)]):
+        whole = [r for b in part for r in b.to_pylist()]
+        cut = list(sliced(part, rows=4, size=100))
+        assert [r for b in cut for r in b.to_pylist()] == whole
+        assert all(b.num_rows <= 4 and (b.num_rows == 1 or sum(len(r["t"] or "") for r in b.to_pylist()) <= 100) for b in cut)
+
+
+def test_no_setting_changes(spark, edge):
+    from ascenta.llm.common import map_arrow
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    assert map_arrow(edge.select("doc_id"), lambda batches: batches, "doc_id long", rows=2).count() == edge.count()
+    assert spark.conf.get(key) == before

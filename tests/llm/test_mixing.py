@@ -1,13 +1,15 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from ascenta.llm import mixing
 
 
 def fill(budget, children):
-    """Water filling of whole numbers: name -> (capacity, weight)."""
-    out, left = {}, sorted(children.items(), key=lambda kv: (kv[1][0] / kv[1][1], kv[0]))
+    """Water filling of whole numbers: name -> (capacity, weight); what rounding leaves goes to the largest remainders."""
+    out = {n: 0 for n, (_, w) in children.items() if not w}
+    left = sorted(((n, c) for n, c in children.items() if c[1]), key=lambda kv: (kv[1][0] / kv[1][1], kv[0]))
     while left:
         total = sum(w for _, (_, w) in left)
         name, (cap, w) = left[0]
@@ -15,7 +17,10 @@ def fill(budget, children):
             out[name], budget = cap, budget - cap
             left.pop(0)
         else:
-            return out | {n: budget * w // total for n, (_, w) in left}
+            parts = {n: budget * w // total for n, (_, w) in left}
+            for n, (_, w) in sorted(left, key=lambda kv: (-(budget * kv[1][1] % total), kv[0]))[: budget - sum(parts.values())]:
+                parts[n] += 1
+            return out | parts
     return out
 
 
@@ -33,6 +38,27 @@ def test_budgets(spark):
     assert sum(found.values()) == 1615  # a target beyond the supply takes all of it
 
 
+def test_nothing_is_lost_by_rounding(spark):
+    df = spark.createDataFrame([(d, 100) for d in "abc"], "domain string, supply long")
+    assert sorted(r.budget for r in mixing.leaf_budgets(df, ["domain"], 20).collect()) == [6, 7, 7]
+
+
+def test_weights_of_zero_and_less(spark):
+    leaves = [("a", "x", 500), ("a", "y", 70), ("b", "x", 900), ("c", "x", 40)]
+    df = spark.createDataFrame(leaves, "domain string, lang string, supply long")
+    found = {(r.domain, r.lang): r.budget for r in mixing.leaf_budgets(df, ["domain", "lang"], 300, {"domain": {"b": 0}, "lang": {"x": 0}}).collect()}
+    assert found == {("a", "x"): 0, ("a", "y"): 70, ("b", "x"): 0, ("c", "x"): 0}
+    assert {r.budget for r in mixing.leaf_budgets(df, ["domain", "lang"], 300, {"domain": dict.fromkeys("abc", 0)}).collect()} == {0}
+    for bad in (-1, 0.5, True):
+        with pytest.raises(ValueError, match="weight of a"):
+            mixing.leaf_budgets(df, ["domain", "lang"], 300, {"domain": {"a": bad}})
+
+
+def test_genre(spark):
+    df = spark.createDataFrame([(n, "w " * n) for n in (0, 199, 200, 1999, 2000)], "n int, text string")
+    assert [r.g for r in df.select("n", F.expr(mixing.GENRE).alias("g")).orderBy("n").collect()] == ["note", "note", "article", "article", "book"]
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = [("a", "x", 5), ("a", "y", 1000), ("b", "x", 1000)]
     df = spark.createDataFrame(leaves, "domain string, lang string, supply long")

@@ -70,9 +70,3 @@ def test_signatures_estimate_similarity():
 def test_bands_lose_no_link():
     for like in (near.Similarity(3, 85), near.Similarity()):
         assert (1 - (like.percent / 100) ** like.rows) ** like.bands < 1e-6
-
-
-def test_connected(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10 != 9] + [(100, 101), (7, 7)], "a long, b long")
-    found = {r.node: r.root for r in near.connected(edges).collect()}
-    assert all(found[i] == i // 10 * 10 for i in range(40)) and found[101] == 100

@@ -67,7 +67,7 @@ def test_byte_bpe(spark):
 
 @needs_tables
 def test_url_verdicts(spark):
-    model = urls.train_url_model()
+    model = urls.train_url_model(urls.unigram_shares(spark.read.parquet(f"{DATA}/pages.parquet")))
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     for r in queries.op7_url_filter(spark, DATA).collect():
         rest = pages[r.page_id].partition("://")[2]
@@ -80,12 +80,12 @@ def test_url_verdicts(spark):
 
 
 def test_cheapest_split():
-    """The split's cost against every split of short names, each part a known word or a stretch of unknown letters."""
-    model = urls.train_url_model(["spam", "win", "bet"], ["news", "net", "a"], ["web"])
-    gap, each = model.unknown + 6.0, 2.2
+    """The split's cost against every split of short names, each part a known word or a stretch that costs by its letters."""
+    model = urls.train_url_model({"ne": 0.01, "ws": 0.002}, ["spam", "win", "bet"], ["news", "net", "a"], ["web"])
+    gap, each = model.gap, model.per_char
 
     def cost(parts):
-        return sum(model.cost.get(p, gap + each * len(p)) for p in parts)
+        return sum(min(model.cost.get(p, gap + each * len(p)), gap + each * len(p)) for p in parts)
 
     r = random.Random(4)
     for _ in range(300):

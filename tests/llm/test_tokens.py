@@ -48,14 +48,24 @@ def test_encode_decode(edge, empty):
     assert bpe.encode_bpe(empty, RANKS, P.PATTERN).count() == 0
 
 
-def test_chunks_equal_whole_texts(texts):
+def thue_morse(n):
+    """A word of 'a' and 'b' and its complement: polynomial hashes of the two collide for any odd base modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_equal_whole_texts(texts):
     own = Tokenizer.from_file(WORDS)
-    own.encode_special_tokens = True
     table = tokenbin._TokenTable(WORDS, most=300)
-    for a in range(0, len(texts), 100):
-        ids, counts = table.encode([t.encode() for t in texts[a : a + 100]])
-        want = own.encode_batch(texts[a : a + 100], add_special_tokens=False)
-        assert np.concatenate([e.ids for e in want]).tolist() == ids.tolist() and [len(e.ids) for e in want] == counts.tolist()
+    special = [f"hello {s} world" for s in ("<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>x", "<|endoftext")] + ["a<|endoftext|>", "", " "]
+    hard = [w for n in (1024, 2048, 4096) for w in thue_morse(n)]
+    every = texts + special + hard
+    for a in range(0, len(every), 100):
+        part = every[a : a + 100]
+        ids, counts = table.encode([t.encode() for t in part])
+        want = [own.encode(t, add_special_tokens=False).ids for t in part]
+        assert [i for w in want for i in w] == ids.tolist() and [len(w) for w in want] == counts.tolist()
+    assert table.encode([t.encode() for t in hard[:2]])[0].tolist() == [i for t in hard[:2] for i in own.encode(t, add_special_tokens=False).ids]
 
 
 def test_byte_coding():
