@@ -1,9 +1,11 @@
 """A corpus pipeline: quality rules, exact dedup, near dedup, a source mix and byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir), works on every row its predecessor kept
-and returns a DataFrame; all but the last return the columns of documents. Nulls
-count as empty texts and null levels as leaves of their own, as each operator
-states; an empty table stays empty.
+and returns a DataFrame; all but the last return the columns of documents, and
+carry further columns, whatever their names, along. Null texts count as empty,
+so quality rules reject them; null levels are leaves of their own; very long
+texts are read whole; an empty table stays empty. Of rows that repeat id and
+text one stays from exact dedup on; ties go to the smallest id.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ascenta.llm import bpe, exact, mixing, near, rules
-from ascenta.llm.common import new_path
+from ascenta.storage import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Near duplicates share four fifths of their five-word shingles.
@@ -24,29 +26,28 @@ MIX_WEIGHTS = {"lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line rules keep."""
+    """Documents that the line rules keep; each row is judged alone, so repeated rows stay or go together."""
     return rules.drop_rejected(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts equal but for white space."""
+    """One document of each group of texts equal but for white space: the longest, then that of the smallest id (null ids last)."""
     return exact.drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by near duplicates."""
+    """One document of each group linked by near duplicates: that of the smallest id; texts without words link with nothing and stay."""
     return near.drop_near_duplicates(docs, NEAR)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the budgets of domains, languages and sources; each at most once."""
-    number = F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT)"), F.lit(0))
-    levels = {"domain": F.pmod(number, F.lit(3)), "lang": F.col("lang"), "source": F.col("source")}
+    """Documents drawn to the budgets of genres, languages and sources; each at most once, rows that repeat id and length together."""
+    levels = {"domain": F.expr(mixing.GENRE), "lang": F.col("lang"), "source": F.col("source")}
     return mixing.mix_sources(docs, levels, MIX_SHARE, MIX_WEIGHTS, max_epochs=1, seed=MIX_SEED).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and a hash of the bytes they decode to."""
+    """The number and a hash of the token ids of each document, and a hash of the bytes they decode to; an empty text has no ids."""
     ids = bpe.encode_bpe(docs, RANKS, public_tokenizers.PATTERN, decode=True)
     return ids.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
