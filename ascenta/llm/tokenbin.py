@@ -83,17 +83,21 @@ def _tokenizer(path: str):
 _PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
+#: Marks at the end of a word after an ASCII letter or digit, which the splitter parts from it; the apostrophe is not among them.
+_END_MARKS = re.compile(rb"(?<=[a-z0-9])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)(?=[ \t\n\x0b\x0c\r]|\Z)").sub
+
+
 class _TokenTable(dict):
     """The ids of words, by the words' bytes.
 
     The tokenizer's normaliser and splitter drop white space and look at nothing
-    across it, so a text's ids are those of its words in order, and each word that
-    is new goes through the library once. Texts that hold the string of an added
+    across it, so a text's ids are those of its words in order, marks at a word's
+    end being a word of their own, and each word that is new goes through the library once. Texts that hold the string of an added
     token, which the library looks for before it parts words, go through it whole.
     Beyond *most* words the table is emptied.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import numpy as np
 
         self.own, self.most = _tokenizer(path), most
@@ -101,9 +105,8 @@ class _TokenTable(dict):
         self.kind = np.dtype("<u2" if self.own.get_vocab_size() <= 1 << 16 else "<u4")
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        added = [re.escape(a.content.encode()) for a in self.own.get_added_tokens_decoder().values()]
-        # Strings that only normalising makes equal match too, as case alone can.
-        self.added = re.compile(b"|".join(added), re.I).search if added else lambda text: None
+        # Compared in lower case: a text whose string differs from a token's in case alone goes whole as well.
+        self.added = [a.content.lower().encode() for a in self.own.get_added_tokens_decoder().values()]
         self._empty()
 
     def _empty(self) -> None:
@@ -133,13 +136,13 @@ class _TokenTable(dict):
         texts = [w.decode() for w in words]
         plain = np.array([_PLAIN(t) is not None for t in texts], bool)
         if plain.any():  # in one text: each is one word to the splitter, and its last id says so
-            ids = np.array(self.own.encode(" ".join(itertools.compress(texts, plain)), add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.own.encode_batch_fast([" ".join(itertools.compress(texts, plain))], add_special_tokens=False)[0].ids, np.int64)
             lengths = np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0)
             self._add(list(itertools.compress(words, plain)), lengths, ids)
         rest = list(itertools.compress(texts, ~plain))
         if rest:
-            got = self.own.encode(rest, is_pretokenized=True, add_special_tokens=False)
-            self._add(list(itertools.compress(words, ~plain)), np.bincount(np.array(got.word_ids, np.int64), minlength=len(rest)), np.array(got.ids, np.int64))
+            each = [e.ids for e in self.own.encode_batch_fast(rest, add_special_tokens=False)]
+            self._add(list(itertools.compress(words, ~plain)), np.array([len(i) for i in each]), np.fromiter(itertools.chain.from_iterable(each), np.int64))
 
     def encode(self, texts: list[bytes]):
         """All ids of the texts, and how many each has."""
@@ -147,12 +150,16 @@ class _TokenTable(dict):
 
         if len(self) > self.most:
             self._empty()
-        whole = [i for i, t in enumerate(texts) if self.added(t)]
         # The normaliser lower-cases; of ASCII letters that needs no context.
-        words = [[] if i in whole else t.lower().split() for i, t in enumerate(texts)]
-        if new := set().union(*words) - self.keys():
-            self._learn(sorted(new))
-        numbers = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
+        low = [t.lower() for t in texts]
+        whole = {i for i, t in enumerate(low) if any(a in t for a in self.added)}
+        words = [[] if i in whole else _END_MARKS(rb" \1", t).split() for i, t in enumerate(low)]
+        flat = list(itertools.chain.from_iterable(words))
+        numbers = np.fromiter(map(self.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(numbers < 0).tolist()
+        if new:
+            self._learn(sorted({flat[i] for i in new}))
+            numbers[new] = [self[flat[i]] for i in new]
         starts, lengths = self.place[0, numbers], self.place[1, numbers]
         ends = np.cumsum(lengths)
         ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
