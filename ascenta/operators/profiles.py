@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import indices
-
 NODATA = -9999.0
 #: Metres of a pixel.
 RESOLUTION = 2
@@ -14,63 +12,168 @@ RESOLUTION = 2
 CLIP_TOLERANCE = 1e-6
 
 
-def resample(x: Column, y: Column, step: float) -> Column:
-    """Samples (d, x, y) along a line at equal distances of at most *step*, both ends included.
-
-    The line's length L is cut into max(1, ceil(L / step)) parts; the last distance is L itself.
-    """
-    n = F.size(x)
-    lengths = F.transform(indices(n - 1), lambda i: F.hypot(F.get(x, i + 1) - F.get(x, i), F.get(y, i + 1) - F.get(y, i)))
-    start = F.struct(F.array(F.lit(0.0)).alias("all"), F.lit(0.0).alias("last"))
-    add = lambda s, v: F.struct(F.concat(s["all"], F.array(s["last"] + v)).alias("all"), (s["last"] + v).alias("last"))
-    run = F.aggregate(lengths, start, add, lambda s: s["all"])
-
-    def of(cum: Column) -> Column:
-        total = F.element_at(cum, -1)
-        parts = F.greatest(F.lit(1), F.ceil(total / step).cast("int"))
+def _packed(values, ends, kind):
+    """Flat values as an Arrow list column; *ends* are where each list ends."""
+    import numpy as np
+    import pyarrow as pa
 
-        def spot(i: Column) -> Column:
-            d = F.when(i == parts, total).otherwise(total * i / parts)
-            # The last vertex at or before d, but for the line's end.
-            k = F.least(F.greatest(F.size(F.filter(cum, lambda c: c <= d)) - 1, F.lit(0)), n - 2)
-            return F.struct(d.alias("d"), k.alias("k"))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values, kind))
 
-        def sample(p: Column) -> Column:
-            d, k = p["d"], p["k"]
-            lo, hi = F.get(cum, k), F.get(cum, k + 1)
-            t = F.when(hi > lo, (d - lo) / (hi - lo)).otherwise(F.lit(0.0))
-            between = lambda a: F.get(a, k) + (F.get(a, k + 1) - F.get(a, k)) * t
-            return F.struct(d.alias("d"), between(x).alias("x"), between(y).alias("y"))
 
-        # Two steps, so that the search for k runs once a sample.
-        return F.transform(F.transform(F.sequence(F.lit(0), parts), spot), sample)
+def _line_samples(x, y, step: float):
+    """Number of parts, length, and x and y of the samples of one line, whose last distance is the length itself."""
+    import numpy as np
 
-    return F.get(F.transform(F.array(run), of), F.lit(0))
+    run = np.concatenate([[0.0], np.cumsum(np.hypot(np.diff(x), np.diff(y)))])
+    parts = max(1, int(np.ceil(run[-1] / step)))
+    d = run[-1] * np.arange(parts + 1) / parts
+    d[-1] = run[-1]
+    return parts, run[-1], np.interp(d, run, x), np.interp(d, run, y)
 
 
-def corners(samples: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """Each sample's four neighbouring pixels (px, py) with their bilinear weights.
+def sampled(lines: DataFrame, keys: list[str], step: float, tile_px: int) -> DataFrame:
+    """Samples of lines (keys, x, y) at equal distances of at most *step*, both ends included, in pieces that lie in one tile.
 
-    Pixels are numbered from the origin, pixel 0 covering 0 to 2 m; values hold at centres.
+    A line of length L is cut into max(1, ceil(L / step)) parts; sample k lies at L k / parts.
+    A piece (keys, parts, length, first, tx, ty, x, y) holds the neighbouring samples
+    from number *first* whose lower left pixel is in tile (tx, ty). One pass over the
+    vertices and samples of each line; lines of no vertex give no piece.
     """
-    fx, fy = F.col(x) / RESOLUTION - 0.5, F.col(y) / RESOLUTION - 0.5
-    px, py = F.floor(fx), F.floor(fy)
-    wx, wy = fx - px, fy - py
-    one = lambda dx, dy: F.struct((px + dx).cast("long").alias("px"), (py + dy).cast("long").alias("py"), ((wx if dx else 1 - wx) * (wy if dy else 1 - wy)).alias("w"))
-    return samples.select("*", F.inline(F.array(one(0, 0), one(1, 0), one(0, 1), one(1, 1))))
-
-
-def bilinear(samples: DataFrame, keys: list[str], dem: DataFrame) -> DataFrame:
-    """*samples* (with unique *keys*) with z from *dem* (px, py, z): null if any of the four neighbours has no terrain.
-
-    No terrain is a missing pixel, the nodata value or exactly 0. The join is on
-    the pixel, so it is dealt like the raster and holds no tile in memory.
+    kinds = ", ".join(f"`{k}` {lines.schema[k].dataType.simpleString()}" for k in keys)
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            own, parts, length, first, tx, ty, xs, ys, ends = [], [], [], [], [], [], [], [], []
+            total = 0
+            for row, (x, y) in enumerate(zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist(), strict=True)):
+                if not x:
+                    continue
+                n, m, sx, sy = _line_samples(np.array(x), np.array(y), step)
+                px, py = (np.floor(v / RESOLUTION - 0.5).astype(np.int64) // tile_px for v in (sx, sy))
+                cut = np.flatnonzero(np.concatenate([[True], (px[1:] != px[:-1]) | (py[1:] != py[:-1])]))
+                own += [row] * len(cut)
+                parts += [n] * len(cut)
+                length += [m] * len(cut)
+                first.append(cut)
+                tx.append(px[cut])
+                ty.append(py[cut])
+                ends.append(total + np.append(cut[1:], len(sx)))
+                total += len(sx)
+                xs.append(sx)
+                ys.append(sy)
+            if own:
+                ends_ = np.concatenate(ends)
+                at = pa.array(own)
+                columns = [*(batch.column(i).take(at) for i in range(len(keys))), pa.array(parts, pa.int32()), pa.array(length, pa.float64()), pa.array(np.concatenate(first), pa.int32()),
+                           pa.array(np.concatenate(tx)), pa.array(np.concatenate(ty)), _packed(np.concatenate(xs), ends_, pa.float64()), _packed(np.concatenate(ys), ends_, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "parts", "length", "first", "tx", "ty", "x", "y"])
+
+    return lines.select(*keys, "x", "y").mapInArrow(kernel, f"{kinds}, parts int, length double, first int, tx long, ty long, x array<double>, y array<double>")
+
+
+def _with_edges(tiles: DataFrame, tile_px: int) -> DataFrame:
+    """Tiles (tx, ty, data), and for the neighbours to the left, below, and both, the edge of each that borders on them: side 0 to 3."""
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for tx, ty, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                z = np.frombuffer(data, "<f4").reshape(tile_px, tile_px)
+                rows += [(tx, ty, 0, data), (tx - 1, ty, 1, z[:, 0].tobytes()), (tx, ty - 1, 2, z[0].tobytes()), (tx - 1, ty - 1, 3, z[0, :1].tobytes())]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["tx", "ty", "side", "data"])
+
+    return tiles.select("tx", "ty", "data").mapInArrow(kernel, "tx long, ty long, side int, data binary")
+
+
+def bilinear(pieces: DataFrame, keys: list[str], tiles: DataFrame, tile_px: int) -> DataFrame:
+    """*pieces* of :func:`sampled` with z instead of x and y: null where any of the four neighbouring pixels has no terrain.
+
+    Pixels are numbered from the origin, pixel 0 covering 0 to 2 m; values hold
+    at centres. A tile (tx, ty, data) is *tile_px* squared little-endian 32-bit floats, row after row from the
+    south; no terrain is a missing tile, the nodata value, exactly 0, or nan. Tiles and
+    pieces are dealt by tile, with a pixel's width of the neighbours' edges, so the one exchange
+    holds samples and tiles but no pixels, and a task holds one tile at a time and streams the pieces.
+    Several rows of one tile, as from files that share it, fill each other's nans.
     """
-    bad = F.col("z").isNull() | (F.col("z") == NODATA) | (F.col("z") == 0)
-    read = corners(samples).join(dem, ["px", "py"], "left")
-    z = F.when(F.bool_or(bad), F.lit(None)).otherwise(F.sum(F.col("w") * F.col("z")))
-    found = read.groupBy(*keys).agg(z.alias("z"))
-    return samples.join(found, keys)
+    kinds = ", ".join(f"`{k}` {pieces.schema[k].dataType.simpleString()}" for k in keys)
+    none = lambda c: F.lit(None).cast(pieces.schema[c].dataType).alias(c)
+    edged = _with_edges(tiles, tile_px)
+    both = pieces.select("tx", "ty", F.lit(9).alias("side"), F.lit(None).cast("binary").alias("data"), *keys, "parts", "length", "first", "x", "y").unionByName(
+        edged.select("tx", "ty", "side", "data", *(none(c) for c in (*keys, "parts", "length", "first", "x", "y")))
+    )
+    dealt = both.repartition("tx", "ty").sortWithinPartitions("tx", "ty", "side")
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at, held, base = None, np.full((tile_px + 1, tile_px + 1), np.nan), 0
+        for batch in batches:
+            side = batch.column(2).to_numpy()
+            tx, ty = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            reads = np.flatnonzero(side == 9)
+            x, y = batch.column(-2), batch.column(-1)
+            z_parts, bad_parts, ends = [], [], []
+            total = 0
+            for i in range(batch.num_rows):
+                if at != (tx[i], ty[i]):
+                    at = (tx[i], ty[i])
+                    held[:] = np.nan
+                if side[i] != 9:
+                    new = np.frombuffer(batch.column(3)[i].as_py(), "<f4").astype(float)
+                    where = (held[:-1, :-1], held[:-1, -1], held[-1, :-1], held[-1:, -1])[side[i]]
+                    new = new.reshape(where.shape)
+                    where[...] = np.where(np.isnan(where), new, where)
+                    base = 1
+                    continue
+                gx, gy = (np.asarray(c[i].values) / RESOLUTION - 0.5 for c in (x, y))
+                fx, fy = np.floor(gx), np.floor(gy)
+                wx, wy = gx - fx, gy - fy
+                cx, cy = (fx - tx[i] * tile_px).astype(np.int64), (fy - ty[i] * tile_px).astype(np.int64)
+                corners = (held[cy, cx], held[cy, cx + 1], held[cy + 1, cx], held[cy + 1, cx + 1])
+                bad = np.zeros(len(gx), bool)
+                for c in corners:
+                    bad |= np.isnan(c) | (c == NODATA) | (c == 0)
+                a, b, c, d = corners
+                z_parts.append((a * (1 - wx) + b * wx) * (1 - wy) + (c * (1 - wx) + d * wx) * wy)
+                bad_parts.append(bad)
+                total += len(gx)
+                ends.append(total)
+            if len(reads):
+                rows = pa.array(reads)
+                z = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(np.concatenate(z_parts), pa.float64(), mask=np.concatenate(bad_parts)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in range(4, 4 + len(keys) + 3)), z], [*keys, "parts", "length", "first", "z"])
+
+    return dealt.mapInArrow(kernel, f"{kinds}, parts int, length double, first int, z array<double>")
+
+
+def whole_lines(read: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces with z put together: one row (keys, parts, length, z) a line, its heights in order."""
+    pieces = F.sort_array(F.collect_list(F.struct("first", "z")))
+    return read.groupBy(*keys).agg(F.first("parts").alias("parts"), F.first("length").alias("length"), F.flatten(F.transform(pieces, lambda p: p["z"])).alias("z"))
+
+
+def judged(lines: DataFrame) -> DataFrame:
+    """Lines (structure, parts, length, z) with invalid, the samples without terrain, and the outcome; of a structure only the ends count as read."""
+    ends = F.array(F.element_at("z", 1), F.element_at("z", -1))
+    counted = F.when(F.col("structure").isNull(), F.col("z")).otherwise(ends)
+    invalid = F.size(F.filter(counted, lambda v: v.isNull()))
+    return lines.withColumns({"invalid": invalid, "outcome": outcome(F.size(counted), invalid, F.col("length"))})
+
+
+def finished(judged: DataFrame) -> DataFrame:
+    """Kept lines of :func:`judged` with distance_m and elevation_m (32-bit), structures on the line that joins their ends."""
+    d = F.transform(F.sequence(F.lit(0), F.col("parts")), lambda k: F.when(k == F.col("parts"), F.col("length")).otherwise(F.col("length") * k / F.col("parts")))
+    kept = judged.where("outcome = 'kept'").withColumn("distance_m", d)
+    z = F.when(F.col("structure").isNull(), F.col("z")).otherwise(deck(F.col("z"), F.col("distance_m")))
+    return kept.withColumn("elevation_m", z.cast("array<float>")).drop("z")
 
 
 def deck(z: Column, d: Column) -> Column:

@@ -1,11 +1,11 @@
-"""Terrain tiles: what to fetch, what was not planned, statistics, and what becomes of sampled candidates."""
+"""Terrain tiles: what to fetch, what was not planned, and statistics."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .profiles import NODATA, outcome
+from .profiles import NODATA
 
 
 def unplanned(held: DataFrame, planned: DataFrame) -> DataFrame:
@@ -40,11 +40,3 @@ def stats(pixels: DataFrame) -> DataFrame:
         F.min("min_m").alias("min_m"),
         F.max("max_m").alias("max_m"),
     )
-
-
-def judged(read: DataFrame, keys: list[str]) -> DataFrame:
-    """Outcome of each candidate from its samples (keys, structure, k, d, z); of a structure only the ends count as read."""
-    ends = read.groupBy(*keys).agg(F.max("k").alias("__last"))
-    counted = F.col("structure").isNull() | (F.col("k") == 0) | (F.col("k") == F.col("__last"))
-    sums = read.join(ends, keys).groupBy(*keys).agg(F.first("structure").alias("structure"), F.max("d").alias("length"), F.count_if(counted).alias("read"), F.count_if(counted & F.col("z").isNull()).alias("invalid"))
-    return sums.withColumn("outcome", outcome(F.col("read"), F.col("invalid"), F.col("length")))

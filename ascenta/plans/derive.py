@@ -1,4 +1,4 @@
-"""The derivation from ways and finished profiles: candidates, runs, climbs and anchors."""
+"""The derivation: candidates of ways, profiles of candidates, runs, climbs and anchors."""
 
 from __future__ import annotations
 
@@ -18,6 +18,16 @@ def candidates_of(ways: DataFrame) -> DataFrame:
     return network.both_ways(materialize(pieces.where("reason IS NULL").drop("reason"), "pieces"))
 
 
+def profiles_of(candidates: DataFrame, tiles: DataFrame, tile_px: int, step: float = 10.0) -> DataFrame:
+    """Sampled candidates (candidate_id, structure, x, y) with what became of each: parts, length, z, invalid and outcome.
+
+    ``profiles.finished`` makes the profiles of those that are kept, for :func:`climbs_of`.
+    """
+    keys = ["candidate_id", "structure"]
+    pieces = profiles.sampled(candidates, keys, step, tile_px)
+    return profiles.judged(profiles.whole_lines(profiles.bilinear(pieces, keys, tiles, tile_px), keys))
+
+
 def climbs_of(candidates: DataFrame, profiled: DataFrame, walk: runs.Walk = runs.Walk(), override: Mapping[str, float] | None = None) -> DataFrame:  # noqa: B008
     """Scored climbs (with their run's candidate_ids) of candidates and their profiles (candidate_id, distance_m, elevation_m)."""
     ends = materialize(profiles.with_ends(profiled, candidates), "ends")

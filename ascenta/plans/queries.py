@@ -228,63 +228,100 @@ def next_tiles(spark, sf_dir):
 
 # --- profiles ------------------------------------------------------------
 
+#: Each stretch between two vertices gives the samples from its start up to the next vertex, the last one the end as well.
 _RESAMPLE_SQL = f"""step AS (
   SELECT id, seq, i, x, y, coalesce(sqrt(pow(x - lag(x) OVER o, 2) + pow(y - lag(y) OVER o, 2)), 0) AS d FROM vertex WINDOW o AS (PARTITION BY id, seq ORDER BY i)
 ), run AS (
-  SELECT *, sum(d) OVER (PARTITION BY id, seq ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM step
+  SELECT *, sum(d) OVER (PARTITION BY id, seq ORDER BY i ROWS UNBOUNDED PRECEDING) AS c, sum(d) OVER w AS total, max(i) OVER w AS n FROM step WINDOW w AS (PARTITION BY id, seq)
 ), line AS (
-  SELECT id, seq, max(c) AS total, greatest(1, ceil(max(c) / {STEP_M}))::INT AS parts, max(i) AS n FROM run GROUP BY ALL
-), want AS (
-  SELECT id, seq, k, CASE WHEN k = parts THEN total ELSE total * k / parts END AS d, n FROM (SELECT *, unnest(range(parts + 1))::INT AS k FROM line)
-), spot AS (
-  SELECT want.*, least((SELECT count(*) FROM run r WHERE r.id = want.id AND r.seq = want.seq AND r.c <= want.d) - 1, n - 1) AS j FROM want
-), sample AS (
-  SELECT spot.id, spot.seq, spot.k, spot.d,
-         a.x + (b.x - a.x) * (CASE WHEN b.c > a.c THEN (spot.d - a.c) / (b.c - a.c) ELSE 0 END) AS x,
-         a.y + (b.y - a.y) * (CASE WHEN b.c > a.c THEN (spot.d - a.c) / (b.c - a.c) ELSE 0 END) AS y
-  FROM spot JOIN run a ON a.id = spot.id AND a.seq = spot.seq AND a.i = spot.j JOIN run b ON b.id = spot.id AND b.seq = spot.seq AND b.i = spot.j + 1
+  SELECT *, greatest(1, ceil(total / {STEP_M}))::INT AS parts FROM run
+), begun AS (
+  SELECT *, CASE WHEN i = 0 THEN 0 WHEN i = n OR total = 0 THEN parts + 1 ELSE ceil(c * parts / total) END::INT AS k0 FROM line
+), stretch AS (
+  SELECT *, lead(x) OVER p AS x1, lead(y) OVER p AS y1, lead(d) OVER p AS d1, lead(k0) OVER p AS k1 FROM begun WINDOW p AS (PARTITION BY id, seq ORDER BY i)
+), sample AS MATERIALIZED (
+  SELECT id, seq, k, parts, total, d, x + coalesce((x1 - x) * (d - c) / nullif(d1, 0), 0) AS x, y + coalesce((y1 - y) * (d - c) / nullif(d1, 0), 0) AS y
+  FROM (SELECT *, CASE WHEN k = parts THEN total ELSE total * k / parts END AS d FROM (SELECT * EXCLUDE (d), unnest(range(k0, k1))::INT AS k FROM stretch WHERE k1 IS NOT NULL))
 )"""
 _SAMPLES_SQL = f"WITH {NETWORK_SQL}, {VERTEX_SQL}, {_RESAMPLE_SQL}"
-# Pixels are negative and % keeps the sign in both dialects, so remainders are made positive.
-_DEM = "CASE WHEN ((px * 7 + py * 3) % 97 + 97) % 97 = 5 THEN -9999.0 WHEN ((px + py) % 89 + 89) % 89 = 1 THEN 0.0 ELSE 400.0 + 0.125 * ((px + 0.5) * 2.0 + 470000.0) + 0.0625 * ((py + 0.5) * 2.0 + 1104000.0) END"
-_DEM_SQL = _DEM.replace("-9999.0", "-9999.0::DOUBLE").replace("0.0 ELSE 400.0", "0.0::DOUBLE ELSE 400.0::DOUBLE").replace("0.125 *", "0.125::DOUBLE *").replace("0.0625 *", "0.0625::DOUBLE *").replace("0.5)", "0.5::DOUBLE)")
+# Pixels are negative and % keeps the sign, so remainders are made positive.
+_DEM_SQL = """CASE WHEN ((px * 7 + py * 3) % 97 + 97) % 97 = 5 THEN -9999.0::DOUBLE WHEN ((px + py) % 89 + 89) % 89 = 1 THEN 0.0::DOUBLE
+  ELSE 400.0::DOUBLE + 0.125::DOUBLE * ((px + 0.5::DOUBLE) * 2 + 470000) + 0.0625::DOUBLE * ((py + 0.5::DOUBLE) * 2 + 1104000) END"""
 _BILINEAR_SQL = f"""corner AS (
-  SELECT id, seq, k, d, floor(x / 2 - 0.5) AS fx, floor(y / 2 - 0.5) AS fy, x / 2 - 0.5::DOUBLE AS gx, y / 2 - 0.5::DOUBLE AS gy FROM sample
-), four AS (
-  SELECT id, seq, k, d, (fx + dx)::BIGINT AS px, (fy + dy)::BIGINT AS py,
-         (CASE dx WHEN 1 THEN gx - fx ELSE 1 - (gx - fx) END) * (CASE dy WHEN 1 THEN gy - fy ELSE 1 - (gy - fy) END) AS w
-  FROM corner, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) AS o(dx, dy)
-), read AS (
-  SELECT id, seq, k, any_value(d) AS d, CASE WHEN bool_or(z = -9999 OR z = 0) THEN NULL ELSE sum(w * z) END AS z FROM (SELECT *, {_DEM_SQL} AS z FROM four) GROUP BY id, seq, k
+  SELECT *, floor(x / 2 - 0.5) AS fx, floor(y / 2 - 0.5) AS fy, x / 2 - 0.5::DOUBLE AS gx, y / 2 - 0.5::DOUBLE AS gy FROM sample
+), read AS MATERIALIZED (
+  SELECT id, seq, k, parts, total, d, CASE WHEN bad THEN NULL ELSE (z00 * (1 - wx) + z10 * wx) * (1 - wy) + (z01 * (1 - wx) + z11 * wx) * wy END AS z
+  FROM (SELECT *, gx - fx AS wx, gy - fy AS wy, {" OR ".join(f"z{a}{b} IN (0, -9999)" for a in (0, 1) for b in (0, 1))} AS bad
+        FROM (SELECT *, {", ".join(f"{_DEM_SQL.replace('px', f'(fx + {a})').replace('py', f'(fy + {b})')} AS z{a}{b}" for a in (0, 1) for b in (0, 1))} FROM corner))
 )"""
+_PROFILE_KEYS = ["id", "seq", "structure"]
 
 
-def _samples(spark, sf_dir):
+def _sampled(spark, sf_dir):
     # A line of a few hundred bytes becomes hundreds of samples, so lines are dealt by count, not by bytes.
-    lines = _lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism * 4).withColumn("s", profiles.resample(F.col("x"), F.col("y"), STEP_M))
-    return lines.select("id", "seq", "structure", F.posexplode("s").alias("k", "p")).select("id", "seq", "structure", "k", "p.d", "p.x", "p.y")
+    lines = _lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism * 4)
+    return profiles.sampled(lines, _PROFILE_KEYS, STEP_M, TILE_PX)
+
+
+def _virtual_tiles(wanted: DataFrame) -> DataFrame:
+    """The raster's tiles of which *wanted* (tx, ty) need pixels, those to the right and above included, made by a rule."""
+    around = wanted.select("tx", "ty").distinct().select(F.explode(F.array(*(F.struct((F.col("tx") + a).alias("tx"), (F.col("ty") + b).alias("ty")) for a in (0, 1) for b in (0, 1)))).alias("t"))
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            tiles = []
+            for tx, ty in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                py, px = np.indices((TILE_PX, TILE_PX)) + np.array([ty, tx]).reshape(2, 1, 1) * TILE_PX
+                z = 400 + 0.125 * ((px + 0.5) * 2 + 470000) + 0.0625 * ((py + 0.5) * 2 + 1104000)
+                tiles.append(np.where((px * 7 + py * 3) % 97 == 5, profiles.NODATA, np.where((px + py) % 89 == 1, 0.0, z)).astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tiles, pa.binary())], ["tx", "ty", "data"])
+
+    return around.select("t.*").distinct().mapInArrow(kernel, "tx long, ty long, data binary")
 
 
 def _read(spark, sf_dir):
-    samples = _samples(spark, sf_dir).checkpoint()  # read three times below
-    dem = profiles.corners(samples).select("px", "py").distinct().select("px", "py", F.expr(_DEM).cast("double").alias("z"))
-    return profiles.bilinear(samples, ["id", "seq", "k"], dem)
+    """Lines with the heights read along them."""
+    pieces = materialize(_sampled(spark, sf_dir), "samples")  # read for the tiles and for the samples
+    read = profiles.bilinear(pieces, _PROFILE_KEYS, _virtual_tiles(pieces), TILE_PX)
+    return profiles.whole_lines(read, _PROFILE_KEYS)
+
+
+def _digest(values: Column) -> Column:
+    """A hash of whole numbers in order, null as such; all of a line's values in one column."""
+    return F.md5(F.array_join(F.transform(values, lambda v: v.cast("string")), ",", "null"))
+
+
+def _digest_sql(value: str) -> str:
+    return f"md5(string_agg(coalesce(({value})::VARCHAR, 'null'), ',' ORDER BY k))"
+
+
+#: Values in hundredths, moved off the ties that whole metres and halves give.
+_CENTI = lambda v: F.floor(v * 100 + 0.31).cast("long")
+_CENTI_SQL = "floor({} * 100 + 0.31)::BIGINT".format
 
 
-@query(_SAMPLES_SQL + " SELECT id, seq::INT AS seq, k, round(d, 4) AS d, round(x, 4) AS x, round(y, 4) AS y FROM sample")
+@query(f"{_SAMPLES_SQL} SELECT id, seq::INT AS seq, any_value(parts) AS parts, round(any_value(total), 4) AS length, {_digest_sql(_CENTI_SQL('x'))} AS x, {_digest_sql(_CENTI_SQL('y'))} AS y FROM sample GROUP BY id, seq")
 def resample(spark, sf_dir):
-    return _samples(spark, sf_dir).select("id", "seq", "k", *(F.round(c, 4).alias(c) for c in ("d", "x", "y")))
+    """Each line's samples every 10 m: their number, the length, and hashes of all their places."""
+    whole = _sampled(spark, sf_dir).groupBy("id", "seq").agg(F.first("parts").alias("parts"), F.first("length").alias("length"), F.sort_array(F.collect_list(F.struct("first", "x", "y"))).alias("p"))
+    at = lambda c: _digest(F.transform(F.flatten(F.transform("p", lambda p: p[c])), _CENTI))
+    return whole.select("id", "seq", "parts", F.round("length", 4).alias("length"), at("x").alias("x"), at("y").alias("y"))
 
 
-@query(_SAMPLES_SQL + f", {_BILINEAR_SQL} SELECT id, seq::INT AS seq, k, round(z + 0.0001::DOUBLE, 3) AS z FROM read")
+@query(f"{_SAMPLES_SQL}, {_BILINEAR_SQL} SELECT id, seq::INT AS seq, count(*) AS samples, count(*) FILTER (WHERE z IS NULL) AS without, {_digest_sql(_CENTI_SQL('z'))} AS z FROM read GROUP BY id, seq")
 def bilinear_plane(spark, sf_dir):
-    return _read(spark, sf_dir).select("id", "seq", "k", F.round(F.col("z") + 0.0001, 3).alias("z"))  # off the ties
+    """Heights read along each line: how many, how many without terrain, and a hash of all."""
+    bad = F.size(F.filter("z", lambda v: v.isNull()))
+    return _read(spark, sf_dir).select("id", "seq", F.size("z").cast("long").alias("samples"), bad.cast("long").alias("without"), _digest(F.transform("z", _CENTI)).alias("z"))
 
 
-_OUTCOME_SQL = """judged AS (
-  SELECT id, seq, any_value(structure) AS structure, max(d) AS length,
-         count(*) FILTER (WHERE structure IS NULL OR k IN (0, last)) AS n, count(*) FILTER (WHERE z IS NULL AND (structure IS NULL OR k IN (0, last))) AS bad
-  FROM (SELECT read.*, structure, max(k) OVER (PARTITION BY id, seq) AS last FROM read JOIN kept USING (id, seq)) GROUP BY id, seq
+_OUTCOME_SQL = """judged AS MATERIALIZED (
+  SELECT id, seq, any_value(structure) AS structure, any_value(total) AS length,
+         count(*) FILTER (WHERE structure IS NULL OR k IN (0, parts)) AS n, count(*) FILTER (WHERE z IS NULL AND (structure IS NULL OR k IN (0, parts))) AS bad
+  FROM read JOIN kept USING (id, seq) GROUP BY id, seq
 )"""
 
 
@@ -293,17 +330,27 @@ SELECT count(*) AS candidates, count(*) FILTER (WHERE length > 0 AND bad = 0) AS
        count(*) FILTER (WHERE length > 0 AND bad > 0 AND bad = n) AS nodata_whole, count(*) FILTER (WHERE length > 0 AND bad > 0 AND bad < n) AS nodata_partial,
        sum(bad)::BIGINT AS nodata_samples, count(*) FILTER (WHERE length > 0 AND bad = 0 AND structure IS NOT NULL) AS structures FROM judged""")
 def nodata_drop_counts(spark, sf_dir):
-    return profiles.outcome_counts(tiles.judged(_read(spark, sf_dir), ["id", "seq"]))
+    return profiles.outcome_counts(profiles.judged(_read(spark, sf_dir)))
 
 
 @query(_SAMPLES_SQL + f""", {_BILINEAR_SQL}, {_OUTCOME_SQL}, ends AS (
-  SELECT id, seq, max(d) AS total, arg_min(z, k) AS a, arg_max(z, k) AS b FROM read JOIN judged USING (id, seq) WHERE bad = 0 AND length > 0 AND structure IS NOT NULL GROUP BY id, seq
-) SELECT id, seq::INT AS seq, k, round(a + (b - a) * d / total + 0.0001::DOUBLE, 3) AS z FROM read JOIN ends USING (id, seq)""")
+  SELECT id, seq, any_value(judged.structure) AS structure, arg_min(z, k) AS a, arg_max(z, k) AS b FROM read JOIN judged USING (id, seq) WHERE bad = 0 AND length > 0 GROUP BY id, seq
+), final AS (SELECT id, seq, k, parts, total, CASE WHEN structure IS NULL THEN z ELSE a + (b - a) * d / total END::FLOAT::DOUBLE AS z FROM read JOIN ends USING (id, seq))
+SELECT id, seq::INT AS seq, any_value(parts) AS parts, {_digest_sql(_CENTI_SQL('z'))} AS z FROM final GROUP BY id, seq""")
 def deck_interpolation(spark, sf_dir):
-    read = _read(spark, sf_dir).checkpoint()
-    kept = tiles.judged(read, ["id", "seq"]).where("outcome = 'kept' AND structure IS NOT NULL").select("id", "seq")
-    decks = read.join(kept, ["id", "seq"]).groupBy("id", "seq").agg(F.sort_array(F.collect_list(F.struct("k", "d", "z"))).alias("s"))
-    return decks.select("id", "seq", F.posexplode(profiles.deck(F.col("s.z"), F.col("s.d"))).alias("k", "z")).withColumn("z", F.round(F.col("z") + 0.0001, 3))
+    """Kept profiles, structures on the line that joins their ends: a hash of the heights as 32-bit numbers."""
+    kept = profiles.finished(profiles.judged(_read(spark, sf_dir)))
+    return kept.select("id", "seq", "parts", _digest(F.transform(F.col("elevation_m").cast("array<double>"), _CENTI)).alias("z"))
+
+
+@query(_SAMPLES_SQL + f""", {_BILINEAR_SQL}, {_OUTCOME_SQL} SELECT id, seq::INT AS seq FROM kept WHERE NOT EXISTS (FROM judged j WHERE j.id = kept.id AND j.seq = kept.seq AND bad = 0 AND length > 0)""")
+def without_profile(spark, sf_dir):
+    """Pieces that have no profile."""
+    lines = materialize(_lines(spark, sf_dir), "lines")
+    pieces = materialize(profiles.sampled(lines, _PROFILE_KEYS, STEP_M, TILE_PX), "samples")
+    read = profiles.whole_lines(profiles.bilinear(pieces, _PROFILE_KEYS, _virtual_tiles(pieces), TILE_PX), _PROFILE_KEYS)
+    named = lambda df: df.withColumn("candidate_id", F.struct("id", "seq"))
+    return profiles.without_profile(named(lines), named(profiles.finished(profiles.judged(read)))).select("id", "seq")
 
 
 @query(f"WITH {NETWORK_SQL}, {_ENDS_SQL} SELECT candidate_id, foot, top, length FROM e")

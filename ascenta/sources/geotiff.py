@@ -86,11 +86,12 @@ def pixels(data: bytes):
     return out[:height, :width]
 
 
-def dem_pixels(files: DataFrame, wanted: dict | None = None) -> DataFrame:
-    """Pixels (px, py, z) of tiles (data: their bytes), numbered from the map's origin upwards.
+def dem_tiles(files: DataFrame, tile_px: int, wanted: dict | None = None) -> DataFrame:
+    """Tiles (tx, ty, data) of files (data: their bytes), numbered from the map's origin upwards; see ``profiles.bilinear`` for data.
 
-    The whole of each tile's faults against *wanted* raise at once. A tile must be on the
-    pixel grid: its origin a whole number of square pixels.
+    All of a file's faults against *wanted* raise at once. A file must be on the pixel
+    grid, its origin a whole number of square pixels; where it covers a tile in
+    part, the rest is nan and other files may fill it.
     """
 
     def kernel(batches):
@@ -106,9 +107,17 @@ def dem_pixels(files: DataFrame, wanted: dict | None = None) -> DataFrame:
                     faults.append("the tile is off the pixel grid")
                 if faults:
                     raise ValueError(f"dem: {'; '.join(faults)}")
-                z = pixels(data)
-                rows, columns = np.indices(z.shape)
-                px, py = int(x0 // sx) + columns, int(y1 // sy) - 1 - rows
-                yield pd.DataFrame({"px": px.reshape(-1), "py": py.reshape(-1), "z": z.reshape(-1).astype(float)})
-
-    return files.select("data").mapInPandas(kernel, "px long, py long, z double")
+                z = pixels(data)[::-1]  # from the south
+                west, south = int(x0 // sx), int(y1 // sy) - len(z)
+                rows = []
+                for ty in range(south // tile_px, (south + len(z) - 1) // tile_px + 1):
+                    for tx in range(west // tile_px, (west + z.shape[1] - 1) // tile_px + 1):
+                        out = np.full((tile_px, tile_px), np.nan, "<f4")
+                        top, left = max(south, ty * tile_px), max(west, tx * tile_px)
+                        part = z[top - south : (ty + 1) * tile_px - south, left - west : (tx + 1) * tile_px - west]
+                        y, x = top - ty * tile_px, left - tx * tile_px
+                        out[y : y + part.shape[0], x : x + part.shape[1]] = part
+                        rows.append((tx, ty, out.tobytes()))
+                yield pd.DataFrame(rows, columns=["tx", "ty", "data"])
+
+    return files.select("data").mapInPandas(kernel, "tx long, ty long, data binary")

@@ -3,44 +3,109 @@ import pytest
 from pyspark.sql import functions as F
 
 from ascenta.functions import geo, grid
-from ascenta.operators import profiles, tiles
+from ascenta.operators import profiles
 
 
 def array(*v):
     return F.array(*(F.lit(float(x)) for x in v))
 
 
-def test_resample(spark):
-    one = spark.range(1)
-    s = one.select(profiles.resample(array(0, 3, 10), array(0, 4, 4), 10).alias("s")).first().s
-    assert [tuple(p) for p in s] == [(0, 0, 0), (6, 4, 4), (12, 10, 4)]
-    s = one.select(profiles.resample(array(0, 25), array(0, 0), 10).alias("s")).first().s
-    assert len(s) == 4 and s[-1].d == 25
-    s = one.select(profiles.resample(array(1, 1), array(2, 2), 10).alias("s")).first().s
-    assert [tuple(p) for p in s] == [(0, 1, 2), (0, 1, 2)]
-
-
-def test_bilinear_is_exact_on_a_plane(spark):
-    points = [(k, -469900.3 + 7.7 * k, -1104010.7 + 3.3 * k) for k in range(20)]
-    samples = spark.createDataFrame(points, "k int, x double, y double")
-    plane = F.lit(400) + F.lit(0.1) * ((F.col("px") + 0.5) * 2 + 470000) + F.lit(0.05) * ((F.col("py") + 0.5) * 2 + 1104000)
-    dem = profiles.corners(samples).select("px", "py").distinct().withColumn("z", plane)
-    for r in profiles.bilinear(samples, ["k"], dem).collect():
-        assert r.z == pytest.approx(400 + 0.1 * (r.x + 470000) + 0.05 * (r.y + 1104000), abs=1e-3)
-    holes = dem.withColumn("z", F.when(F.col("px") % 2 == 0, F.lit(0.0)).otherwise(F.col("z")))
-    assert all(r.z is None for r in profiles.bilinear(samples, ["k"], holes).collect())
-    assert all(r.z is None for r in profiles.bilinear(samples, ["k"], dem.limit(0)).collect())
+TILE = 8
+LINE = "id string, structure string, x array<double>, y array<double>"
+
+
+def tiles_of(spark, height, wanted):
+    """Tiles whose pixel (px, py) is height(px, py)."""
+    rows = []
+    for tx, ty in wanted:
+        z = [[height(tx * TILE + i, ty * TILE + j) for i in range(TILE)] for j in range(TILE)]
+        rows.append((tx, ty, bytearray(np.array(z, "<f4").tobytes())))
+    return spark.createDataFrame(rows, "tx long, ty long, data binary")
+
+
+def read(spark, lines, tiles, step=3.0):
+    keys = ["id", "structure"]
+    df = spark.createDataFrame(lines, LINE)
+    pieces = profiles.sampled(df, keys, step, TILE)
+    return profiles.whole_lines(profiles.bilinear(pieces, keys, tiles, TILE), keys)
+
+
+def test_samples(spark):
+    lines = [("bend", None, [0.0, 3.0, 10.0], [0.0, 4.0, 4.0]), ("dot", None, [1.0, 1.0], [2.0, 2.0]), ("none", None, [], []), ("far", None, [-40.0, 40.0], [5.0, 5.0])]
+    found = {}
+    for r in profiles.sampled(spark.createDataFrame(lines, LINE), ["id", "structure"], 6.0, TILE).orderBy("id", "first").collect():
+        held = found.setdefault(r.id, [r.parts, r.length, []])
+        assert r.first == len(held[2]) and all((np.floor(x / 2 - 0.5) // TILE, np.floor(y / 2 - 0.5) // TILE) == (r.tx, r.ty) for x, y in zip(r.x, r.y, strict=True))
+        held[2] += zip(r.x, r.y, strict=True)
+    assert set(found) == {"bend", "dot", "far"}
+    assert found["bend"] == [2, 12.0, [(0.0, 0.0), (4.0, 4.0), (10.0, 4.0)]] and found["dot"] == [1, 0.0, [(1.0, 2.0), (1.0, 2.0)]]
+    assert found["far"][:2] == [14, 80.0] and [x for x, _ in found["far"][2]] == pytest.approx([-40 + 80 * k / 14 for k in range(15)])
+
+
+def test_heights_are_exact_on_a_plane_across_tiles(spark):
+    every = [(a, b) for a in range(-4, 5) for b in range(-4, 5)]
+    tiles = tiles_of(spark, lambda px, py: 500 + px + py / 2, every)
+    r = np.random.default_rng(1)
+    lines = [(str(k), None, r.uniform(-55, 55, 5).tolist(), r.uniform(-55, 55, 5).tolist()) for k in range(20)]
+    pieces = {}
+    for p in profiles.sampled(spark.createDataFrame(lines, LINE), ["id", "structure"], 3.0, TILE).orderBy("id", "first").collect():
+        pieces.setdefault(p.id, []).extend(zip(p.x, p.y, strict=True))
+    for line in read(spark, lines, tiles).collect():
+        assert line.z == pytest.approx([500 + x / 2 - 0.5 + (y / 2 - 0.5) / 2 for x, y in pieces[line.id]], abs=1e-3) and len(line.z) == line.parts + 1
+
+
+def test_holes_at_the_edges_of_tiles(spark):
+    """Each of the four neighbours may lie in another tile; a hole there, of any kind, or no tile at all, leaves no height."""
+    at = 2 * TILE  # the corner between four tiles
+    line = [("x", None, [at - 0.2, at + 0.2], [at - 0.2, at + 0.2])]
+    four = [(0, 0), (1, 0), (0, 1), (1, 1)]
+    good = read(spark, line, tiles_of(spark, lambda px, py: 7.0, four)).first()
+    assert good.z == pytest.approx([7.0, 7.0])
+    for tx, ty in four:
+        for hole in (0.0, -9999.0, float("nan")):
+            corner = (TILE - 1 + tx, TILE - 1 + ty)
+            assert read(spark, line, tiles_of(spark, lambda px, py, c=corner, h=hole: h if (px, py) == c else 7.0, four)).first().z == [None, None]
+        assert read(spark, line, tiles_of(spark, lambda px, py: 7.0, [t for t in four if t != (tx, ty)])).first().z == [None, None]
+    assert read(spark, line, tiles_of(spark, lambda px, py: 7.0, four).limit(0)).first().z == [None, None]
+    halves = tiles_of(spark, lambda px, py: 7.0 if px % 2 else float("nan"), four).unionByName(tiles_of(spark, lambda px, py: float("nan") if px % 2 else 7.0, four))
+    assert read(spark, line, halves).first().z == pytest.approx([7.0, 7.0])
 
 
 def test_outcomes(spark):
-    rows = [("kept", None, [1.0, 2.0]), ("whole", None, [None, None]), ("part", None, [1.0, None]), ("deck", "bridge", [1.0, None, 3.0]), ("tunnel", "tunnel", [None, 2.0, 3.0])]
-    read = spark.createDataFrame([(n, s, k, float(k), z) for n, s, zs in rows for k, z in enumerate(zs)] + [("same", None, 0, 0.0, 1.0)], "id string, structure string, k int, d double, z double")
-    judged = tiles.judged(read, ["id"])
+    rows = [("kept", None, [1.0, 2.0]), ("whole", None, [None, None]), ("part", None, [1.0, None]), ("deck", "bridge", [10.0, None, 20.0]), ("tunnel", "tunnel", [None, 2.0, 3.0])]
+    lines = [(i, s, len(z) - 1, 10.0, z) for i, s, z in rows] + [("same", None, 1, 0.0, [1.0, 1.0])]
+    judged = profiles.judged(spark.createDataFrame(lines, "id string, structure string, parts int, length double, z array<double>"))
     assert {r.id: r.outcome for r in judged.collect()} == {"kept": "kept", "whole": "nodata_whole", "part": "nodata_partial", "deck": "kept", "tunnel": "nodata_partial", "same": "degenerate"}
     c = profiles.outcome_counts(judged).first()
-    assert (c.candidates, c.kept, c.structures, c.nodata_samples) == (6, 2, 1, 4)
-    z = spark.range(1).select(profiles.deck(array(10, 99, 20), array(0, 5, 10)).alias("z")).first().z
-    assert z == [10, 15, 20]
+    assert (c.candidates, c.kept, c.structures, c.nodata_samples, c.degenerate) == (6, 2, 1, 4, 1)
+    final = {r.id: (r.distance_m, r.elevation_m) for r in profiles.finished(judged).collect()}
+    assert final == {"kept": ([0, 10], [1, 2]), "deck": ([0, 5, 10], [10, 15, 20])}
+
+
+def test_profiles_and_candidates_meet_in_full(spark):
+    own = spark.createDataFrame([(1, 5, 6), (2, 6, 7), (3, 7, 8)], "candidate_id long, start_node_id long, end_node_id long")
+    held = spark.createDataFrame([(1, [0.0, 9.0], [1.0, 2.0]), (3, [0.0, 9.0], [4.0, 0.1])], "candidate_id long, distance_m array<double>, elevation_m array<double>")
+    assert [r.candidate_id for r in profiles.without_profile(own, held).collect()] == [2]
+    found = {r.candidate_id: (r.start_node_id, r.end_node_id, r.foot, r.top, r.length) for r in profiles.with_ends(held, own).collect()}
+    assert found == {1: (5, 6, 1.0, 2.0, 9.0), 3: (7, 8, 4.0, float(np.float32(0.1)), 9.0)}
+    with pytest.raises(Exception, match="no candidate 3 of a profile"):
+        profiles.with_ends(held, own.where("candidate_id < 3")).collect()
+
+
+def test_sampled_profiles_feed_the_walk(spark):
+    from ascenta.plans import derive
+
+    tiles = tiles_of(spark, lambda px, py: 400.0 + 0.2 * px, [(a, 0) for a in range(60)])
+    rows = [(0, None, [10.0, 400.0], [8.0, 8.0], 1, 2, 50), (1, "bridge", [400.0, 900.0], [8.0, 8.0], 2, 3, 51), (2, None, [900.0, 10.0], [8.0, 8.0], 3, 1, 52), (3, None, [0.0, 2000.0], [8.0, 8.0], 1, 9, 53)]
+    own = spark.createDataFrame(rows, "candidate_id long, structure string, x array<double>, y array<double>, start_node_id long, end_node_id long, id long")
+    judged = derive.profiles_of(own, tiles, TILE)
+    assert {r.candidate_id: r.outcome for r in judged.collect()} == {0: "kept", 1: "kept", 2: "kept", 3: "nodata_partial"}
+    profiled = profiles.finished(judged).select("candidate_id", "distance_m", "elevation_m")
+    climbs = derive.climbs_of(own, profiled)
+    climb = climbs.first()
+    assert climbs.count() == 1 and climb.candidate_ids == [0, 1] and climb.gain == pytest.approx(89, abs=3)
+    anchor = derive.anchors_of(climbs, own, profiled).first()
+    assert (anchor.way_refs, anchor.start_node_id, anchor.end_node_id) == ([50, 51], 1, 3)
 
 
 def test_join_and_clip(spark):

@@ -68,12 +68,15 @@ def test_faults(spark):
     good, bad = write(Z, -470016.0, -1103872.0, 16), write(Z, -470015.0, -1103872.0, 16, nodata=None, epsg=4326)
     wanted = {"epsg": 5514, "nodata": -9999.0}
     files = lambda *d: spark.createDataFrame([(bytearray(x),) for x in d], "data binary")
-    dem = geotiff.dem_pixels(files(good), wanted)
-    assert dem.count() == Z.size
-    corner = dem.where("px = -235008").orderBy("py", ascending=False).first()
-    assert (corner.py, corner.z) == (-551937, 0.0)
+    found = {(r.tx, r.ty): np.frombuffer(bytes(r.data), "<f4").reshape(16, 16) for r in geotiff.dem_tiles(files(good), 16, wanted).collect()}
+    west, south = -470016 // 2, -1103872 // 2 - 48
+    for (tx, ty), z in found.items():
+        for j, i in ((0, 0), (15, 3), (7, 15)):
+            px, py = tx * 16 + i - west, ty * 16 + j - south
+            assert np.isnan(z[j, i]) if not (0 <= px < 64 and 0 <= py < 48) else z[j, i] == np.float32(Z[47 - py, px])
+    assert sum(int((~np.isnan(z)).sum()) for z in found.values()) == Z.size
     with pytest.raises(Exception, match="epsg is 4326.*nodata is None.*off the pixel grid"):
-        geotiff.dem_pixels(files(bad), wanted).collect()
+        geotiff.dem_tiles(files(bad), 16, wanted).collect()
     with pytest.raises(ValueError, match="no TIFF"):
         geotiff.header(b"{}")
 
@@ -81,10 +84,12 @@ def test_faults(spark):
 def test_heights_from_tiles(spark):
     x, y = np.meshgrid(-470016 + 2 * np.arange(64) + 1, -1103872 - 2 * np.arange(48) - 1)
     plane = 400 + 0.1 * (x + 470000) + 0.05 * (y + 1104000)
-    dem = geotiff.dem_pixels(spark.createDataFrame([(bytearray(write(plane, -470016.0, -1103872.0, 16)),)], "data binary"))
-    samples = spark.createDataFrame([(k, -470000.3 + k, -1103900.7 - k) for k in range(10)] + [(99, 0.0, 0.0)], "k int, x double, y double")
-    for r in profiles.bilinear(samples, ["k"], dem).collect():
-        assert r.z is None if r.k == 99 else r.z == pytest.approx(400 + 0.1 * (r.x + 470000) + 0.05 * (r.y + 1104000), abs=1e-3)
+    tiles = geotiff.dem_tiles(spark.createDataFrame([(bytearray(write(plane, -470016.0, -1103872.0, 16)),)], "data binary"), 16)
+    lines = spark.createDataFrame([(1, [-470000.0, -469920.0], [-1103900.0, -1103950.0]), (2, [0.0, 5.0], [0.0, 0.0])], "id int, x array<double>, y array<double>")
+    pieces = profiles.sampled(lines, ["id"], 10.0, 16)
+    for r in profiles.whole_lines(profiles.bilinear(pieces, ["id"], tiles, 16), ["id"]).collect():
+        at = np.arange(r.parts + 1) / r.parts
+        assert r.z == [None, None] if r.id == 2 else r.z == pytest.approx((400 + 0.1 * (80 * at) + 0.05 * (100 - 50 * at)).tolist(), abs=1e-3)
 
 
 def test_wkb(spark):
