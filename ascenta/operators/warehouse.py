@@ -97,6 +97,11 @@ def checked(climbs: DataFrame) -> DataFrame:
     return climbs.where(rules)
 
 
+def by_derivation(climbs: DataFrame) -> DataFrame:
+    """How many climbs each derivation has."""
+    return climbs.groupBy("derivation_id").agg(F.count("climb_id").alias("climbs"))
+
+
 def with_ids(profiles: DataFrame, climbs: DataFrame) -> DataFrame:
     """Profiles by identity (way_refs, start_node_id, end_node_id) with the climb_id that identity got: never by order."""
     key = ["way_refs", "start_node_id", "end_node_id"]

@@ -11,6 +11,7 @@ from ..functions import grid
 from ..functions.geo import line_length, within
 from ..functions.tags import is_cyclable, structure_of
 from ..operators import anchors, arrays, detect, network, profiles, runs, tiles, warehouse
+from ..sources import tables
 from ..storage import materialize
 from . import derive
 from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL, Z_SQL, height, place, table, tagged, ways
@@ -129,7 +130,24 @@ def vertices_in_boundary(spark, sf_dir):
     return _lines(spark, sf_dir).select("id", "seq", F.exists(F.arrays_zip("x", "y"), lambda p: covers(ring, p["x"], p["y"])).alias("inside"))
 
 
-@query()
+_X0, _X1, _Y0, _Y1 = -469500.0, -468000.0, -1106000.0, -1105000.0
+_TO_BOX = "sqrt(pow(greatest({a} - {x}, 0, {x} - {b}), 2) + pow(greatest({c} - {y}, 0, {y} - {d}), 2))".replace("{a}", f"({_X0})").replace("{b}", f"({_X1})").replace("{c}", f"({_Y0})").replace("{d}", f"({_Y1})")
+_TO_CORNER = "(SELECT sqrt(pow({cx} - x0 - t * (x1 - x0), 2) + pow({cy} - y0 - t * (y1 - y0), 2)) FROM (SELECT coalesce(greatest(0, least(1, (({cx} - x0) * (x1 - x0) + ({cy} - y0) * (y1 - y0)) / nullif(pow(x1 - x0, 2) + pow(y1 - y0, 2), 0))), 0) AS t))"
+
+
+def _enter_leave(low: float, high: float, a: str, b: str) -> tuple[str, str]:
+    """Where along a stretch from *a* to *b* it enters and leaves the strip between two lines."""
+    at = lambda v: f"(({v}) - {a}) / nullif({b} - {a}, 0)"
+    outside = f"CASE WHEN {a} BETWEEN {low} AND {high} THEN {{}} ELSE {{}} END"
+    return f"coalesce(least({at(low)}, {at(high)}), {outside.format(0, 2)})", f"coalesce(greatest({at(low)}, {at(high)}), {outside.format(1, -1)})"
+
+
+_ENTER, _LEAVE = zip(_enter_leave(_X0, _X1, "x0", "x1"), _enter_leave(_Y0, _Y1, "y0", "y1"), strict=True)
+
+
+@query(f"""WITH {NETWORK_SQL}, {VERTEX_SQL}, s AS (SELECT a.id, a.seq, a.x AS x0, a.y AS y0, b.x AS x1, b.y AS y1 FROM vertex a JOIN vertex b ON a.id = b.id AND a.seq = b.seq AND b.i = a.i + 1)
+SELECT id, seq::INT AS seq, bool_or(greatest(0, {", ".join(_ENTER)}) <= least(1, {", ".join(_LEAVE)}) OR least({", ".join([_TO_BOX.format(x=f"x{k}", y=f"y{k}") for k in (0, 1)] + [_TO_CORNER.format(cx=f"({x})", cy=f"({y})") for x in (_X0, _X1) for y in (_Y0, _Y1)])}) <= 200) AS touches
+FROM s GROUP BY id, seq""")
 def boundary_touch(spark, sf_dir):
     from ..functions.geo import touches
 
@@ -757,6 +775,19 @@ def constraint_violations(spark, sf_dir):
     return warehouse.violations(climbs, regions)
 
 
+@query("SELECT o_orderpriority AS derivation_id, count(*) AS climbs FROM orders GROUP BY ALL")
+def climbs_by_derivation(spark, sf_dir):
+    return warehouse.by_derivation(table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("derivation_id"), F.col("o_orderkey").alias("climb_id")))
+
+
+@query("SELECT 'lineitem' AS name, count(*) AS n, (SELECT count(*) FROM information_schema.columns WHERE table_name = 'lineitem') AS columns FROM lineitem")
+def footer_reads(spark, sf_dir):
+    """Rows and columns of a table from its footers: no column is read."""
+    path = f"{sf_dir}/lineitem.parquet"
+    held = [("lineitem", tables.rows_in(spark, path), len(tables.columns_of(spark, path)))]
+    return spark.createDataFrame(held, "name string, n long, columns long")
+
+
 @query("SELECT min(o_orderkey) AS id, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' GROUP BY ALL")
 def derivation_repeat(spark, sf_dir):
     known = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority")
