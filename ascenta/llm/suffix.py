@@ -230,7 +230,9 @@ def _grouped(batches):
 class SuffixRun:
     """A sorted run of suffixes, front-coded: the bytes each shares with the one before are left out."""
 
-    HEAD = 10  # anchor's hash, bytes from the anchor on, bytes before it
+    #: The anchor's hash comes first, then the bytes from the anchor on, those before it, the nearest first, and how many of the latter and the former there are.
+    GRAM_BYTES = 8
+    EXTRA = GRAM_BYTES + 2
 
     @staticmethod
     def encode(keys, lengths, spans) -> bytes:
@@ -334,31 +336,49 @@ def merge_runs(runs):
 
 
 def _repeated_windows(items, length: int):
-    """Spans (document, start, end) of the windows in *items* that an earlier one equals; items: (suffix, document, start)."""
+    """Spans (document, start, end) of the windows in *items* that an earlier one equals.
+
+    *items*: (suffix, document, start, bytes shared with the item before) in the
+    merged order. A window with *o* bytes before its anchor equals another where the
+    two share ``length - o`` bytes from the anchor on and *o* bytes before it. The
+    first is so where no item between them in the merged order shares less with
+    its neighbour; for the second, the bytes before the anchor are sorted in the
+    same way. So equality is decided by prefix lengths of compared bytes, by no hash.
+    """
     import numpy as np
 
-    items = sorted(items, key=lambda x: (x[1], x[2]))
-    head = SuffixRun.HEAD
-    contexts = [s[head + s[8] :][::-1] + s[head : head + s[8]] for s, _, _ in items]
-    data = np.frombuffer(b"".join(contexts), np.uint8)
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    ends = np.cumsum(sizes)
-    counts = sizes - length + 1
-    total = np.cumsum(counts)
-    item = np.repeat(np.arange(len(items)), counts)
-    inside = np.arange(int(total[-1])) - np.repeat(total - counts, counts)
-    hashes = _window_hashes(data, length)[np.repeat(ends - sizes, counts) + inside]
-    order = np.argsort(hashes, kind="stable")  # items are in order of document and start, and so are equal windows
-    ordered = hashes[order]
-    again = np.zeros(len(order), bool)
-    again[order[1:]] = ordered[1:] == ordered[:-1]
-    begin = again & ~(np.concatenate([[False], again[:-1]]) & (inside > 0))
-    stop = again & ~(np.concatenate([again[1:], [False]]) & np.concatenate([inside[1:] > 0, [False]]))
-    a, b = np.flatnonzero(begin), np.flatnonzero(stop)
-    base = np.array([s for _, _, s in items], np.int64)[item[a]]
-    out = np.empty(len(a), _SPAN)
-    out["doc"] = np.array([d for _, d, _ in items], np.int64)[item[a]]
-    out["start"], out["end"] = base + inside[a], base + inside[b] + length
+    n, gram = len(items), SuffixRun.GRAM_BYTES
+    right, left = (np.array([s[-k] for s, *_ in items], np.int64) for k in (1, 2))
+    doc, base = (np.array([x[k] for x in items], np.int64) for k in (1, 2))
+    from_anchor = np.array([x[3] for x in items], np.int64) - gram
+    from_anchor[0] = -1
+    group = np.cumsum(from_anchor < 0)
+    # Bytes before the anchor, the nearest first, behind the group's number.
+    width = max(1, int(left.max())) + 4
+    rows = np.frombuffer(b"".join([s[gram + r : -2].ljust(width - 4, b"\0") for (s, *_), r in zip(items, right.tolist(), strict=True)]), np.uint8).reshape(n, width - 4)
+    rows = np.ascontiguousarray(np.concatenate([group.astype(">u4").view(np.uint8).reshape(n, 4), rows], axis=1))
+    order = np.argsort(rows.view(f"S{width}").reshape(-1), kind="stable")
+    differs = rows[order[1:]] != rows[order[:-1]]
+    before_anchor = np.concatenate([[-1], np.where(differs.any(axis=1), differs.argmax(axis=1), width) - 4])
+    place = np.empty(n, np.int64)
+    place[np.lexsort((base + left, doc))] = np.arange(n)
+    again = np.zeros((n, length - GRAM + 3), np.int8)  # a column for each o, and one on either side
+    for o in range(length - GRAM + 1):
+        some = np.flatnonzero((left >= o) & (right >= length - o))
+        if len(some) < 2:
+            continue
+        behind = np.empty(n, np.int64)
+        behind[order] = np.cumsum(before_anchor < o)
+        key = np.cumsum(from_anchor < length - o)[some] * (n + 1) + behind[some]
+        by = np.argsort(key * n + place[some])  # of equal windows the earliest comes first
+        same = np.flatnonzero(key[by[1:]] == key[by[:-1]]) + 1
+        again[some[by[same]], o + 1] = 1
+    edge = np.diff(again, axis=1)
+    row, first = np.nonzero(edge == 1)
+    _, last = np.nonzero(edge == -1)
+    out = np.empty(len(row), _SPAN)
+    out["doc"] = doc[row]
+    out["start"], out["end"] = base[row] + left[row] - (last - 1), base[row] + left[row] - first + length
     return out
 
 
@@ -444,24 +464,29 @@ def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
         import zstandard
 
         def run(held):
-            width = SuffixRun.HEAD + max(int(e["size"].max()) for e, _ in held)
+            most = max(int(e["size"].max()) for e, _ in held)
+            width = SuffixRun.EXTRA + most
             keys, spans = [], []
             for entries, text in held:
                 data = np.frombuffer(text, np.uint8)
                 left, right = entries["left"].astype(np.int64), entries["size"].astype(np.int64) - entries["left"]
                 anchor = entries["start"].astype(np.int64) + left
-                column = np.arange(width - SuffixRun.HEAD)
+                column = np.arange(most)
                 at = np.where(column < right[:, None], anchor[:, None] + column, anchor[:, None] - 1 - (column - right[:, None]))
-                body = np.where(column < entries["size"][:, None], data[np.clip(at, 0, len(data) - 1)], 0).astype(np.uint8)
-                head = np.concatenate([entries["gram"].astype(">u8").view(np.uint8).reshape(-1, 8), right[:, None].astype(np.uint8), left[:, None].astype(np.uint8)], axis=1)
-                keys.append(np.concatenate([head, body], axis=1))
+                key = np.zeros((len(entries), width), np.uint8)
+                key[:, : SuffixRun.GRAM_BYTES] = entries["gram"].astype(">u8").view(np.uint8).reshape(-1, 8)
+                key[:, SuffixRun.GRAM_BYTES : -2] = np.where(column < entries["size"][:, None], data[np.clip(at, 0, len(data) - 1)], 0)
+                end = entries["size"].astype(np.int64) + SuffixRun.GRAM_BYTES
+                each = np.arange(len(entries))
+                key[each, end], key[each, end + 1] = left, right  # the last byte is never 0, so padding sorts as no bytes
+                keys.append(key)
                 spans.append(entries)
             keys, spans = np.ascontiguousarray(np.concatenate(keys)), np.concatenate(spans)
             order = np.lexsort((spans["start"], spans["doc"]))
             keys, spans = keys[order], spans[order]
             order = np.argsort(keys.view(f"S{width}").reshape(-1), kind="stable")
             keys, spans = keys[order], spans[order]
-            lengths = spans["size"].astype(np.int64) + SuffixRun.HEAD
+            lengths = spans["size"].astype(np.int64) + SuffixRun.EXTRA
             again = np.concatenate([[False], (keys[1:] == keys[:-1]).all(axis=1)])
             gone = np.empty(int(again.sum()), _SPAN)
             gone["doc"], gone["start"], gone["end"] = spans["doc"][again], spans["start"][again], spans["start"][again] + spans["size"][again]
@@ -497,7 +522,7 @@ def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
             yield from _flush(run(held))
 
     def merge(batches):
-        """Merged runs: equal suffixes become spans, suffixes that share an anchor are compared by window."""
+        """Merged runs: equal suffixes become spans; of those that share an anchor, the shared bytes tell which windows are equal."""
         import numpy as np
 
         def spans(rows):
@@ -512,26 +537,24 @@ def _mark(df: DataFrame, length: int, labels: list[int]) -> DataFrame:
                 if last is not None and shared == len(suffix) == len(last[0]):
                     if (doc, start) < (last[1], last[2]):
                         (doc, start), gone = (last[1], last[2]), (doc, start)
-                        last = (suffix, *gone)
+                        last = (suffix, *gone, last[3])
                         group[-1] = last
-                        equal.append((doc, start, start + len(suffix) - SuffixRun.HEAD))
-                    else:
-                        equal.append((doc, start, start + len(suffix) - SuffixRun.HEAD))
+                    equal.append((doc, start, start + len(suffix) - SuffixRun.EXTRA))
                 else:
-                    if shared < 8 and group:
+                    if shared < SuffixRun.GRAM_BYTES and group:
                         if len(group) > 1:
-                            items += group
+                            items += [(*group[0][:3], 0), *group[1:]]
                             if len(items) >= RUN_SUFFIXES:
                                 yield _repeated_windows(items, length)
                                 items = []
                         group = []
-                    last = (suffix, doc, start)
+                    last = (suffix, doc, start, shared)
                     group.append(last)
                 if len(equal) >= 1 << 18:
                     yield np.array(equal, _SPAN)
                     equal = []
             if len(group) > 1:
-                items += group
+                items += [(*group[0][:3], 0), *group[1:]]
             if items:
                 yield _repeated_windows(items, length)
             if equal:
