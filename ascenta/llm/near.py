@@ -265,13 +265,13 @@ def near_duplicates(df: DataFrame, like: Similarity = Similarity(), id_col: str
     """
     rows = materialize(_sketches(df, id_col, text_col, like), "sketches")
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "mark"))
-    classes = rows.where("n > 0").groupBy("digest", "n").agg(least.alias("least"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
-    classes = materialize(classes.select("digest", "n", F.col("least.row").alias("cls"), F.col("least.id").alias("id"), F.col("least.mark").alias("mark"), "keys", "signature"), "classes")
+    classes = rows.where("n > 0").groupBy("digest", "n").agg(least.alias("least"), F.first("keys").alias("keys"), F.first("signature").alias("signature"), F.count("*").alias("copies"))
+    classes = materialize(classes.select("digest", "n", "copies", F.col("least.row").alias("cls"), F.col("least.id").alias("id"), F.col("least.mark").alias("mark"), "keys", "signature"), "classes")
     places = classes.select("cls", F.explode("keys").alias("key"))
     buckets = places.groupBy("key").agg(F.count("*").alias("size"), F.min("cls").alias("pivot")).where("size > 1").select("key", "pivot")
     stars = places.join(buckets, "key").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
     clusters = connected(stars).withColumnsRenamed({"node": "cls", "root": "cluster"})
-    members = classes.drop("keys", "digest").join(clusters, "cls")
+    members = classes.drop("keys", "digest", "copies").join(clusters, "cls")
     weights = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("shingles") / block[0]), F.ceil(F.col("sets") / block[1])).cast("int")
     members = materialize(members.join(weights.select("cluster", "sets", blocks.alias("blocks")), "cluster"), "members")
@@ -287,33 +287,47 @@ def near_duplicates(df: DataFrame, like: Similarity = Similarity(), id_col: str
         groups = connected(links)
     else:
         groups = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    named = classes.select("digest", "n", "cls", "id").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    named = classes.select("digest", "n", "copies", "cls", "id").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     names = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "cls")).alias("least"))
-    found = named.join(names, "root").select("digest", F.col("n").alias("n_shingles"), F.col("least.id").alias("component_id"), F.col("least.cls").alias("first_row"))
-    with_words = rows.where("n > 0").select("id", "mark", "row", "digest", F.col("n").alias("n_shingles")).join(found, ["digest", "n_shingles"])
+    found = materialize(named.join(names, "root").select("digest", F.col("n").alias("n_shingles"), "copies", F.col("least.id").alias("component_id"), F.col("least.cls").alias("first_row")), "found")
+    with_words = _answered(rows.where("n > 0").select("id", "mark", "row", "digest", F.col("n").alias("n_shingles")), found)
     with_words = with_words.select("id", "mark", "n_shingles", "component_id", (F.col("row") == F.col("first_row")).alias("first"))
     without = rows.where("n = 0").select("id", "mark", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(True).alias("first"))
     out = with_words.unionByName(without)
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "first", F.col("mark").alias("text_mark"))
 
 
+#: A set that this share of all rows repeat is hot: at most HOT_SHARE sets are.
+HOT_SHARE = 1000
+
+
+def _answered(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """*rows* with what was *found* for their set. Sets that very many rows repeat are sent to the rows, so that no task gets all their copies."""
+    total = found.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("total"))
+    placed = found.join(F.broadcast(total)).withColumn("hot", F.col("copies") * HOT_SHARE >= F.col("total")).drop("total", "copies")  # one row
+    key = ["digest", "n_shingles"]
+    hot = F.broadcast(placed.where("hot").drop("hot"))  # at most HOT_SHARE rows, since their copies sum to no more than the total
+    cold = rows.join(F.broadcast(placed.where("hot").select(*key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(placed.where("NOT hot").drop("hot"), key))
+
+
 def _rest(df: DataFrame, members: DataFrame, places: DataFrame, links: DataFrame, block: tuple[int, int], id_col: str, text_col: str, like: Similarity) -> DataFrame:
     """Links between the groups that are still apart in cut clusters.
 
     Only sets in a bucket that holds several groups can link across groups; these
-    are compared block against block, every pair of blocks of a cluster in one task.
+    buckets are compared, each in one task where it fits, else block against block,
+    every pair of a bucket's blocks in one task. A set goes to as many tasks as it has such buckets.
     """
     cut = members.where("blocks > 1")
     groups = connected(links).withColumnsRenamed({"node": "cls", "root": "known"})
-    grouped = cut.join(groups, "cls", "left").withColumn("known", F.coalesce("known", "cls"))
-    at = places.join(grouped.select("cls", "known"), "cls")
-    apart = at.groupBy("key").agg(F.min("known").alias("one"), F.max("known").alias("other")).where("one <> other").select("key")
-    open_ = grouped.join(at.join(apart, "key", "left_semi").select("cls").distinct(), "cls", "left_semi")
-    sizes = open_.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / block[0]), F.ceil(F.count("*") / block[1])).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("cls", F.lit(2)), "parts").cast("int")
-    numbered = open_.join(sizes, "cluster").withColumn("part", part)
+    grouped = materialize(cut.join(groups, "cls", "left").withColumn("known", F.coalesce("known", "cls")), "grouped")
+    at = places.join(grouped.select("cls", "known", "n"), "cls")
+    apart = at.groupBy("key").agg(F.min("known").alias("one"), F.max("known").alias("other"), F.sum("n").alias("shingles"), F.count("*").alias("sets")).where("one <> other")
+    parts = F.greatest(F.ceil(F.col("shingles") / block[0]), F.ceil(F.col("sets") / block[1])).cast("int").alias("parts")
+    open_ = at.select("key", "cls").join(apart.select("key", parts), "key")
+    numbered = grouped.drop("cluster").join(open_, "cls").withColumn("part", F.pmod(F.xxhash64("cls", F.lit(2)), "parts").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    pairs = numbered.withColumn("other", other).withColumn("block", F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
+    pairs = numbered.withColumnRenamed("key", "cluster").withColumn("other", other).withColumn("block", F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
     return _compare(df, pairs, id_col, text_col, like)
 
 

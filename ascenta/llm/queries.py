@@ -51,10 +51,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    levels = {name: F.expr(sql) for name, sql in MIX_LEVELS.items()}
-    drawn = mixing.mix_sources(docs, levels, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
-    return drawn.select("doc_id", levels["domain"].alias("domain"), "lang", "source", "mix_tokens", "mix_copies")
+    # The genre and the tokens are all that is needed of the texts.
+    domain = F.expr(MIX_LEVELS["domain"]).alias("domain")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", domain, "lang", "source", mixing.word_tokens().alias("n"))
+    drawn = mixing.mix_sources(docs, {name: F.col(name) for name in MIX_LEVELS}, MIX_SHARE, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED, tokens=F.col("n"))
+    return drawn.select("doc_id", "domain", "lang", "source", "mix_tokens", "mix_copies")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
