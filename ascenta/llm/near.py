@@ -303,8 +303,8 @@ HOT_SHARE = 1000
 
 def _answered(rows: DataFrame, found: DataFrame) -> DataFrame:
     """*rows* with what was *found* for their set. Sets that very many rows repeat are sent to the rows, so that no task gets all their copies."""
-    total = found.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("total"))
-    placed = found.join(F.broadcast(total)).withColumn("hot", F.col("copies") * HOT_SHARE >= F.col("total")).drop("total", "copies")  # one row
+    total = found.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
+    placed = found.withColumn("hot", F.col("copies") * HOT_SHARE >= total).drop("copies")
     key = ["digest", "n_shingles"]
     hot = F.broadcast(placed.where("hot").drop("hot"))  # at most HOT_SHARE rows, since their copies sum to no more than the total
     cold = rows.join(F.broadcast(placed.where("hot").select(*key)), key, "left_anti")
