@@ -23,9 +23,7 @@ def profiles_of(candidates: DataFrame, tiles: DataFrame, tile_px: int, step: flo
 
     ``profiles.finished`` makes the profiles of those that are kept, for :func:`climbs_of`.
     """
-    keys = ["candidate_id", "structure"]
-    pieces = profiles.sampled(candidates, keys, step, tile_px)
-    return profiles.judged(profiles.whole_lines(profiles.bilinear(pieces, keys, tiles, tile_px), keys))
+    return profiles.judged(profiles.heights(candidates, ["candidate_id", "structure"], tiles, step, tile_px))
 
 
 def climbs_of(candidates: DataFrame, profiled: DataFrame, walk: runs.Walk = runs.Walk(), override: Mapping[str, float] | None = None) -> DataFrame:  # noqa: B008

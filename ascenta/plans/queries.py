@@ -282,8 +282,7 @@ def _sampled(spark, sf_dir):
 
 
 def _virtual_tiles(wanted: DataFrame) -> DataFrame:
-    """The raster's tiles of which *wanted* (tx, ty) need pixels, those to the right and above included, made by a rule."""
-    around = wanted.select("tx", "ty").distinct().select(F.explode(F.array(*(F.struct((F.col("tx") + a).alias("tx"), (F.col("ty") + b).alias("ty")) for a in (0, 1) for b in (0, 1)))).alias("t"))
+    """The raster's tiles *wanted* (tx, ty), made by a rule."""
 
     def kernel(batches):
         import numpy as np
@@ -297,14 +296,12 @@ def _virtual_tiles(wanted: DataFrame) -> DataFrame:
                 tiles.append(np.where((px * 7 + py * 3) % 97 == 5, profiles.NODATA, np.where((px + py) % 89 == 1, 0.0, z)).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tiles, pa.binary())], ["tx", "ty", "data"])
 
-    return around.select("t.*").distinct().mapInArrow(kernel, "tx long, ty long, data binary")
+    return wanted.select("tx", "ty").mapInArrow(kernel, "tx long, ty long, data binary")
 
 
 def _read(spark, sf_dir):
     """Lines with the heights read along them."""
-    pieces = materialize(_sampled(spark, sf_dir), "samples")  # read for the tiles and for the samples
-    read = profiles.bilinear(pieces, _PROFILE_KEYS, _virtual_tiles(pieces), TILE_PX)
-    return profiles.whole_lines(read, _PROFILE_KEYS)
+    return profiles.heights(_lines(spark, sf_dir), _PROFILE_KEYS, _virtual_tiles, STEP_M, TILE_PX)
 
 
 def _digest(values: Column) -> Column:
@@ -364,9 +361,8 @@ def deck_interpolation(spark, sf_dir):
 @query(_SAMPLES_SQL + f""", {_BILINEAR_SQL}, {_OUTCOME_SQL} SELECT id, seq::INT AS seq FROM kept WHERE NOT EXISTS (FROM judged j WHERE j.id = kept.id AND j.seq = kept.seq AND bad = 0 AND length > 0)""")
 def without_profile(spark, sf_dir):
     """Pieces that have no profile."""
-    lines = materialize(_lines(spark, sf_dir), "lines")
-    pieces = materialize(profiles.sampled(lines, _PROFILE_KEYS, STEP_M, TILE_PX), "samples")
-    read = profiles.whole_lines(profiles.bilinear(pieces, _PROFILE_KEYS, _virtual_tiles(pieces), TILE_PX), _PROFILE_KEYS)
+    lines = materialize(_lines(spark, sf_dir).select(*_PROFILE_KEYS, "x", "y"), "lines")
+    read = profiles.heights(lines, _PROFILE_KEYS, _virtual_tiles, STEP_M, TILE_PX)
     named = lambda df: df.withColumn("candidate_id", F.struct("id", "seq"))
     return profiles.without_profile(named(lines), named(profiles.finished(profiles.judged(read)))).select("id", "seq")
 
