@@ -72,6 +72,22 @@ def _kinds(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
 
+def resampled(lines: DataFrame, keys: list[str], step: float) -> DataFrame:
+    """The samples that :func:`sampled` makes of lines (keys, x, y), one row (keys, parts, length, x, y) a line; nothing is exchanged."""
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for rows, parts, lengths, x, y in _samples_in(batch, len(keys), step):
+                at, ends = pa.array(rows), np.cumsum(parts + 1)
+                columns = [*(batch.column(i).take(at) for i in range(len(keys))), pa.array(parts, pa.int32()), pa.array(lengths, pa.float64()), _packed(x, ends, pa.float64()), _packed(y, ends, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "parts", "length", "x", "y"])
+
+    return lines.select(*keys, "x", "y").mapInArrow(kernel, f"{_kinds(lines, keys)}, parts int, length double, x array<double>, y array<double>")
+
+
 def sampled(lines: DataFrame, keys: list[str], step: float, tile_px: int) -> DataFrame:
     """Samples of lines (keys, x, y) at equal distances of at most *step*, both ends included, in pieces that lie in one tile.
 

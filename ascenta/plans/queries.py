@@ -275,12 +275,6 @@ _BILINEAR_SQL = f"""corner AS (
 _PROFILE_KEYS = ["id", "seq", "structure"]
 
 
-def _sampled(spark, sf_dir):
-    # A line of a few hundred bytes becomes hundreds of samples, so lines are dealt by count, not by bytes.
-    lines = _lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism * 4)
-    return profiles.sampled(lines, _PROFILE_KEYS, STEP_M, TILE_PX)
-
-
 def _virtual_tiles(wanted: DataFrame) -> DataFrame:
     """The raster's tiles *wanted* (tx, ty), made by a rule."""
 
@@ -321,8 +315,10 @@ _CENTI_SQL = "floor({} * 100 + 0.31)::BIGINT".format
 @query(f"{_SAMPLES_SQL} SELECT id, seq::INT AS seq, any_value(parts) AS parts, round(any_value(total), 4) AS length, {_digest_sql(_CENTI_SQL('x'))} AS x, {_digest_sql(_CENTI_SQL('y'))} AS y FROM sample GROUP BY id, seq")
 def resample(spark, sf_dir):
     """Each line's samples every 10 m: their number, the length, and hashes of all their places."""
-    whole = _sampled(spark, sf_dir).groupBy("id", "seq").agg(F.first("parts").alias("parts"), F.first("length").alias("length"), F.sort_array(F.collect_list(F.struct("first", "x", "y"))).alias("p"))
-    at = lambda c: _digest(F.transform(F.flatten(F.transform("p", lambda p: p[c])), _CENTI))
+    # A line of a few hundred bytes becomes hundreds of samples, so lines are dealt by count, not by bytes.
+    lines = _lines(spark, sf_dir).select("id", "seq", "x", "y").repartition(spark.sparkContext.defaultParallelism * 4)
+    whole = profiles.resampled(lines, ["id", "seq"], STEP_M)
+    at = lambda c: _digest(F.transform(c, _CENTI))
     return whole.select("id", "seq", "parts", F.round("length", 4).alias("length"), at("x").alias("x"), at("y").alias("y"))
 
 

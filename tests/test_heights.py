@@ -63,6 +63,17 @@ def test_no_lines(spark):
     assert profiles.heights(lines, KEYS, raster(spark, 2), STEP, TILE).collect() == []
 
 
+def test_whole_samples_equal_pieces(spark):
+    lines = lines_of(spark, 30)
+    want = {}
+    for r in profiles.sampled(lines, KEYS, STEP, TILE).orderBy("id", "first").collect():
+        held = want.setdefault(r.id, [r.structure, r.parts, r.length, [], []])
+        held[3] += r.x
+        held[4] += r.y
+    got = profiles.resampled(lines, KEYS, STEP).collect()
+    assert len(got) == len(want) and {r.id: list(r[1:]) for r in got} == want
+
+
 def exchanged(spark):
     """Bytes that all stages so far have sent and written."""
     stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
@@ -79,7 +90,15 @@ def test_samples_are_neither_sent_nor_written(spark):
     assert 0 < exchanged(spark) - before < samples  # of 8 bytes for a height and 16 for a place
 
 
-@pytest.mark.parametrize("name", ["bilinear_plane"])
+def test_resampling_sends_no_samples(spark):
+    r = np.random.default_rng(7)
+    lines = spark.createDataFrame([(k, *r.uniform(-500, 500, (2, 30)).tolist()) for k in range(200)], "id int, x array<double>, y array<double>").repartition(4)
+    before = exchanged(spark)
+    samples = profiles.resampled(lines, ["id"], 1.0).agg(F.sum(F.size("x"))).first()[0]
+    assert samples > 2_000_000 and 0 < exchanged(spark) - before < samples
+
+
+@pytest.mark.parametrize("name", ["bilinear_plane", "resample"])
 def test_queries_read_whole_lines(spark, monkeypatch, name):
     def wrong(*_):
         raise AssertionError("samples are exchanged")
