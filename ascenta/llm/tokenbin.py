@@ -83,8 +83,39 @@ def _tokenizer(path: str):
 _PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
-#: Marks at the end of a word after an ASCII letter or digit, which the splitter parts from it; the apostrophe is not among them.
-_END_MARKS = re.compile(rb"(?<=[a-z0-9])([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)(?=[ \t\n\x0b\x0c\r]|\Z)").sub
+def _byte_kinds():
+    """For each byte: 0 blank, 1 ASCII small letter or digit, 2 ASCII mark other than the apostrophe, 3 any other."""
+    import numpy as np
+
+    kinds = np.full(256, 3, np.uint8)
+    for kind, held in enumerate((b" \t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz0123456789", b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")):
+        kinds[list(held)] = kind
+    return kinds
+
+
+def _words(texts: list[bytes]):
+    """All words of lower-case texts in order, as an Arrow array, and how many each text has.
+
+    Words are parted at blanks, and before marks at the end of a word after an ASCII letter or digit, which the splitter
+    parts from it; the apostrophe is not among them.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)  # a blank before and after each
+    kind = per_process(("byte kinds",), _byte_kinds)[data]
+    held, mark = kind != 0, kind == 2
+    begins = np.zeros(len(data), bool)
+    begins[1:] = held[1:] & ~held[:-1]
+    edges = np.flatnonzero(mark[1:] != mark[:-1]) + 1  # first of each run of marks and what follows it, in turn
+    first, after = edges[0::2], edges[1::2]
+    begins[first[(kind[first - 1] == 1) & (kind[after] == 0)]] = True
+    starts = np.flatnonzero(begins)
+    letters = data[held]
+    offsets = np.append(np.flatnonzero(begins[held]), len(letters)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return words, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 class _TokenTable(dict):
@@ -92,7 +123,8 @@ class _TokenTable(dict):
 
     The tokenizer's normaliser and splitter drop white space and look at nothing
     across it, so a text's ids are those of its words in order, marks at a word's
-    end being a word of their own, and each word that is new goes through the library once. Texts that hold the string of an added
+    end being a word of their own. A batch's words are numbered by Arrow, each distinct one is looked up
+    once, and each that is new goes through the library once. Texts that hold the string of an added
     token, which the library looks for before it parts words, go through it whole.
     Beyond *most* words the table is emptied.
     """
@@ -153,17 +185,18 @@ class _TokenTable(dict):
         # The normaliser lower-cases; of ASCII letters that needs no context.
         low = [t.lower() for t in texts]
         whole = {i for i, t in enumerate(low) if any(a in t for a in self.added)}
-        words = [[] if i in whole else _END_MARKS(rb" \1", t).split() for i, t in enumerate(low)]
-        flat = list(itertools.chain.from_iterable(words))
-        numbers = np.fromiter(map(self.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        words, held = _words([b"" if i in whole else t for i, t in enumerate(low)])
+        coded = words.dictionary_encode()  # so each distinct word is looked up once
+        own = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.get, own, itertools.repeat(-1)), np.int64, len(own))
         new = np.flatnonzero(numbers < 0).tolist()
         if new:
-            self._learn(sorted({flat[i] for i in new}))
-            numbers[new] = [self[flat[i]] for i in new]
-        starts, lengths = self.place[0, numbers], self.place[1, numbers]
+            self._learn([own[i] for i in new])
+            numbers[new] = [self[own[i]] for i in new]
+        starts, lengths = self.place[:, numbers[coded.indices.to_numpy()]]
         ends = np.cumsum(lengths)
         ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
-        counts = np.diff(np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])])
+        counts = np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(held)])])
         if not whole:
             return ids, counts
         parts = np.split(ids, np.cumsum(counts)[:-1])
@@ -203,7 +236,8 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([total.tobytes()])], ["id", "token_ids", "counts"])
 
-    return map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, token_ids binary, counts binary")
+    # Many rows at once, as a word is looked up once a batch; 8 MB of texts bound it.
+    return map_arrow(df.select(id_col, text_col), kernel, f"id {kind}, token_ids binary, counts binary", rows=4096)
 
 
 def _counts(rows: DataFrame, size: int):

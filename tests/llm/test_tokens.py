@@ -68,6 +68,24 @@ def test_words_equal_whole_texts(texts):
     assert table.encode([t.encode() for t in hard[:2]])[0].tolist() == [i for t in hard[:2] for i in own.encode(t, add_special_tokens=False).ids]
 
 
+def test_words_are_looked_up_once_a_batch():
+    class Counted(tokenbin._TokenTable):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+
+    own, table = Tokenizer.from_file(WORDS), Counted(WORDS)
+    texts = ["The cat, the (cat). x1... x1, y's! y's!", "", "THE\tcat \u00e9. e\u0301! \x1c. --a-- a--\n", "cat,"] * 500
+    ids, counts = table.encode([t.encode() for t in texts])
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i for w in want for i in w] == ids.tolist() and [len(w) for w in want] == counts.tolist()
+    assert table.asked < 30
+    ids, counts = table.encode([])
+    assert not len(ids) and not len(counts)
+
+
 def test_byte_coding():
     r = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):
