@@ -98,7 +98,7 @@ def test_resampling_sends_no_samples(spark):
     assert samples > 2_000_000 and 0 < exchanged(spark) - before < samples
 
 
-@pytest.mark.parametrize("name", ["bilinear_plane", "resample", "without_profile", "nodata_drop_counts"])
+@pytest.mark.parametrize("name", ["bilinear_plane", "resample", "without_profile", "nodata_drop_counts", "deck_interpolation"])
 def test_queries_read_whole_lines(spark, monkeypatch, name):
     def wrong(*_):
         raise AssertionError("samples are exchanged")
