@@ -11,7 +11,12 @@ from .arrays import indices, numbered
 
 def ridden(ways: DataFrame) -> DataFrame:
     """Ways (id, nodes, tags) that are ridden, with their structure; ways of fewer than two nodes go uncounted."""
-    return ways.where(is_cyclable(F.col("tags")) & (F.size("nodes") >= 2)).select("id", "nodes", structure_of(F.col("tags")).alias("structure"))
+    return ridden_tags(ways.where(F.size("nodes") >= 2))
+
+
+def ridden_tags(ways: DataFrame) -> DataFrame:
+    """Ways (id, tags, and nodes where given) that are ridden, with their structure instead of their tags."""
+    return ways.where(is_cyclable(F.col("tags"))).select(*(c for c in ways.columns if c in ("id", "nodes")), structure_of(F.col("tags")).alias("structure"))
 
 
 def node_degrees(ways: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators import anchors, arrays, detect, network, profiles, runs, tiles,
 from ..sources import tables
 from ..storage import materialize
 from . import derive
-from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL, Z_SQL, height, place, table, tagged, ways
+from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL, Z_SQL, height, place, ridden, table, tagged, ways
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,7 +41,7 @@ def _ids(nodes: str | Column) -> Column:
 
 def _pieces_of_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of ridden ways; these are read three times, so they are written once."""
-    return network.junction_segments(materialize(network.ridden(ways(spark, sf_dir)), "ways"))
+    return network.junction_segments(materialize(ridden(spark, sf_dir), "ways"))
 
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def structure_class(spark, sf_dir):
 
 @query(f"WITH {NETWORK_SQL} SELECT node, degree FROM deg")
 def node_degree(spark, sf_dir):
-    return network.node_degrees(network.ridden(ways(spark, sf_dir)))
+    return network.node_degrees(ridden(spark, sf_dir))
 
 
 @query(f"WITH {NETWORK_SQL} SELECT id, seq::INT AS seq, structure, array_to_string(nodes, ',') AS nodes FROM seg")

@@ -7,9 +7,13 @@ key. The SQL here is read by Spark and DuckDB alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import network
+from ..operators.arrays import likely
+from ..storage import materialize
+
 TAGS = {
     "highway": "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'residential' WHEN '2' THEN 'track' WHEN '3' THEN 'service' WHEN '4' THEN 'tertiary' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'path' END END",
     "tracktype": "CASE o_orderkey % 4 WHEN 0 THEN 'grade1' WHEN 1 THEN 'grade3' END",
@@ -33,17 +37,29 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.map_filter(pairs, lambda k, v: v.isNotNull()).alias("tags"))
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes of ways in order: id, node, pos."""
-    lines = table(spark, sf_dir, "lineitem")
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    return lines.select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("node"), (F.row_number().over(order) - 1).alias("pos"))
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of ways, in no order: id, and at, by which a way's nodes are ordered.
+
+    Lines that agree in all of *at* have the same node, so what else orders them in the SQL changes no way.
+    """
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("at"))
+
+
+def in_order(lines: DataFrame) -> DataFrame:
+    """Ways of *lines*: id, nodes. The one exchange sends each line once, by its way."""
+    at = lines.repartition("id").groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    return at.select("id", F.transform("at", lambda a: a["l_partkey"] * 100000 + a["l_suppkey"]).alias("nodes"))
 
 
 def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ways: id, nodes, tags."""
-    nodes = positions(spark, sf_dir).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "node"))).alias("p"))
-    return nodes.select("id", F.col("p.node").alias("nodes")).join(tagged(spark, sf_dir), "id")
+    return in_order(lines(spark, sf_dir)).join(tagged(spark, sf_dir), "id")
+
+
+def ridden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`network.ridden` makes of :func:`ways`: tags are judged before anything is sent, and few lines of other ways are sent."""
+    own = materialize(network.ridden_tags(tagged(spark, sf_dir)), "ridden")
+    return in_order(likely(lines(spark, sf_dir), "id", own)).where(F.size("nodes") >= 2).join(own, "id")
 
 
 def part_supplier(node: Column) -> tuple[Column, Column]:
