@@ -51,7 +51,7 @@ def sent(spark):
     return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
 
 
-@pytest.mark.parametrize("name", ["without_profile", "deck_interpolation"])
+@pytest.mark.parametrize("name", ["without_profile", "deck_interpolation", "nodata_drop_counts"])
 def test_lines_of_other_ways_stay(spark, name):
     before = set(sent(spark))
     assert queries.QUERIES[name](spark, DATA).collect()
