@@ -290,14 +290,14 @@ def heights(lines: DataFrame, keys: list[str], tiles: DataFrame | Callable[[Data
     the tiles of given (tx, ty) and may make more. Lines are written once, when this is called.
     """
     spark = lines.sparkSession
-    placed = materialize(_placed(lines, keys, step, tile_px), "lines")
+    placed = materialize(_placed(lines, keys, step, tile_px), "lines", sweep=True)
     blocks = materialize(placed.groupBy("bx", "by").agg(F.sum("samples").alias("n")), "blocks")
     total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     most = min(MOST_SAMPLES, max(LEAST_SAMPLES, -(-total // (3 * spark.sparkContext.defaultParallelism))))
     # One row for each block of the raster.
     groups = blocks.where("bx IS NOT NULL").select("bx", "by", F.ceil(F.col("n") / most).alias("salts"))
     near = placed.join(F.broadcast(groups), ["bx", "by"]).withColumn("salt", F.pmod(F.xxhash64(*keys, "x", "y"), "salts"))
-    needed = materialize(_needed(near, step, tile_px), "needed")
+    needed = materialize(_needed(near, step, tile_px), "needed", sweep=True)
     wanted = needed.select("tx", "ty")
     far = None
     if blocks.where("bx IS NULL").first():

@@ -41,7 +41,7 @@ def _ids(nodes: str | Column) -> Column:
 
 def _pieces_of_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of ridden ways; these are read three times, so they are written once."""
-    return network.junction_segments(materialize(ridden(spark, sf_dir), "ways"))
+    return network.junction_segments(materialize(ridden(spark, sf_dir), "ways", sweep=True))
 
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[str] = []
+_SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -81,14 +84,31 @@ def release(spark: SparkSession) -> None:
         delete(spark, _MADE.pop())
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def _swept(spark: SparkSession) -> Iterator[None]:
+    """Writes within delete the shuffles they have made when they end."""
+    held = spark.conf.get(_SWEEP, None)
+    spark.conf.set(_SWEEP, "true")
+    try:
+        yield
+    finally:
+        if held is None:
+            spark.conf.unset(_SWEEP)
+        else:
+            spark.conf.set(_SWEEP, held)
+
+
+def materialize(df: DataFrame, name: str, sweep: bool = False) -> DataFrame:
     """Write *df* as Parquet into the shared folder and read it back.
 
     Cuts the lineage at files that survive lost executors. Unlike a checkpoint,
     it also resets the plan's size estimate to the files' size; estimates of plans
-    that join a checkpoint with itself multiply from round to round.
+    that join a checkpoint with itself multiply from round to round. With *sweep*,
+    the shuffles of the write go with it; else they lie on disk until the driver
+    happens to collect its garbage.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with _swept(spark) if sweep else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,10 +1,13 @@
 """Rows that a join can't use go before they are sent, and no others."""
 
+import time
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ascenta.operators import arrays, network
+from ascenta import storage
+from ascenta.operators import arrays, network, profiles
 from ascenta.plans import queries, virtual
 
 DATA = "/root/testdata/sf0.001"
@@ -59,3 +62,29 @@ def test_lines_of_other_ways_stay(spark, name):
     # Two of five orders are ridden; the lines that stages sent by node are fewer still.
     most = max(n for k, n in sent(spark).items() if k not in before)
     assert 0 < most < 0.6 * lines
+
+
+def shuffles(spark):
+    """Bytes of each shuffle file on disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {(f := files.apply(i)).getName(): f.length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("name", ["deck_interpolation"])
+def test_shuffles_go_with_the_writes_they_serve(spark, monkeypatch, name):
+    """What a table written on the way has sent is not left to the driver's garbage collection."""
+    left = {}
+
+    def written(df, name, **more):
+        before = shuffles(df.sparkSession)
+        out = storage.materialize(df, name, **more)
+        time.sleep(0.5)  # shuffles are deleted in the background
+        left[name] = sum(n for k, n in shuffles(df.sparkSession).items() if k not in before)
+        return out
+
+    for module in (queries, profiles):
+        monkeypatch.setattr(module, "materialize", written)
+    df = queries.QUERIES[name](spark, DATA)
+    assert {k: left[k] for k in ("ways", "lines", "needed")} == {"ways": 0, "lines": 0, "needed": 0}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    assert df.collect() == df.collect()
