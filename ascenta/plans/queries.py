@@ -12,7 +12,7 @@ from ..functions.geo import line_length, within
 from ..functions.tags import is_cyclable, structure_of
 from ..operators import anchors, arrays, detect, network, profiles, runs, tiles, warehouse
 from ..sources import tables
-from ..storage import materialize
+from ..storage import materialize, noted, release
 from . import derive
 from .virtual import CYCLABLE_SQL, NETWORK_SQL, STRUCTURE_SQL, TAGS, VERTEX_SQL, Z_SQL, height, place, ridden, table, tagged, ways
 
@@ -295,7 +295,11 @@ def _virtual_tiles(wanted: DataFrame) -> DataFrame:
 
 def _read(spark, sf_dir):
     """Lines with the heights read along them."""
-    return profiles.heights(_lines(spark, sf_dir), _PROFILE_KEYS, _virtual_tiles, STEP_M, TILE_PX)
+    with noted() as network_tables:
+        lines = _lines(spark, sf_dir)
+    read = profiles.heights(lines, _PROFILE_KEYS, _virtual_tiles, STEP_M, TILE_PX)
+    release(spark, network_tables)  # the lines are written now, and the network is not read again
+    return read
 
 
 def _digest(values: Column) -> Column:

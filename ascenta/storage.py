@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
@@ -10,6 +11,8 @@ from contextlib import contextmanager, nullcontext
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[str] = []
+#: Paths that a thread notes, by its number; a plain table, since this module is pickled by value.
+_NOTED: dict[int, list[str]] = {}
 _SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -37,9 +40,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _MADE.append(path)
+    _NOTED.get(threading.get_ident(), []).append(path)
     return path
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that this thread makes within, for :func:`release`; one such block holds no other."""
+    paths = _NOTED[threading.get_ident()] = []
+    try:
+        yield paths
+    finally:
+        del _NOTED[threading.get_ident()]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete what lies at *path*, through the file system of its scheme."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -78,10 +92,11 @@ def bytes_at(spark: SparkSession, path: str) -> bytes | None:
         stream.close()
 
 
-def release(spark: SparkSession) -> None:
-    """Delete all that this process has written to the shared folder; results that read it can't be read afterwards."""
-    while _MADE:
-        delete(spark, _MADE.pop())
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete all that this process has written to the shared folder, or *paths* of it; results that read it can't be read afterwards."""
+    for path in list(_MADE) if paths is None else paths:
+        delete(spark, path)
+        _MADE.remove(path)
 
 
 @contextmanager

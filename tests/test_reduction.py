@@ -88,3 +88,30 @@ def test_shuffles_go_with_the_writes_they_serve(spark, monkeypatch, name):
     assert {k: left[k] for k in ("ways", "lines", "needed")} == {"ways": 0, "lines": 0, "needed": 0}
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
     assert df.collect() == df.collect()
+
+
+def tables(spark):
+    """Names of the folders that hold tables written on the way."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(storage.shared_dir(spark))
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in store.listStatus(folder)} if store.exists(folder) else set()
+
+
+@pytest.mark.parametrize("name", ["nodata_drop_counts"])
+def test_the_network_goes_once_lines_are_written(spark, name):
+    before = tables(spark)
+    df = queries.QUERIES[name](spark, DATA)
+    assert sorted(t.partition("-")[0] for t in tables(spark) - before) == ["blocks", "lines", "needed"]
+    assert df.collect() == df.collect() and df.count() == 1
+
+
+def test_noted_paths_alone_are_released(spark):
+    rows = spark.range(3)
+    kept = storage.materialize(rows, "kept")
+    with storage.noted() as paths:
+        gone = storage.materialize(rows, "gone")
+    after = storage.materialize(rows, "after")
+    storage.release(spark, paths)
+    assert len(paths) == 1 and kept.count() == after.count() == 3
+    with pytest.raises(Exception, match="gone-"):
+        gone.collect()
